@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from .common import table
 
 
+def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repeats import cut_repeats
+
+    return cut_repeats(table(spark, sf_dir, "documents"), 400).drop("kept")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Law `key`: rendezvous over 24 equal shards, and over 25."""
     from .sharding import assign_shards, number_slots
@@ -19,6 +25,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return number_slots(assign_shards(docs, "doc_id", [1.0] * 24), "doc_id").select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), 4, 80)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
@@ -46,7 +58,9 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeats": op1_repeats,
     "op2_sharding": op2_sharding,
+    "op3_near_duplicates": op3_near_duplicates,
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_top_k": op10_top_k,
