@@ -31,6 +31,12 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), 4, 80)
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import digest_columns, personal_data
+
+    return digest_columns(personal_data(table(spark, sf_dir, "documents")))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeats": op1_repeats,
     "op2_sharding": op2_sharding,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_personal_data": op4_personal_data,
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_top_k": op10_top_k,
