@@ -37,6 +37,13 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_columns(personal_data(table(spark, sf_dir, "documents")))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .rules import decide
+
+    found = decide(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rules")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
@@ -68,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_personal_data": op4_personal_data,
+    "op5_quality_rules": op5_quality_rules,
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_top_k": op10_top_k,
