@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import id_remainder, table
 
 
 def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +44,18 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rules")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score_quality
+
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), id_remainder(F.col("doc_id"), 5) == 0)
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import identify
+
+    return identify(table(spark, sf_dir, "documents"), id_remainder(F.col("doc_id"), 4) == 2)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
@@ -76,6 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_duplicates": op3_near_duplicates,
     "op4_personal_data": op4_personal_data,
     "op5_quality_rules": op5_quality_rules,
+    "op6_quality": op6_quality,
+    "op7_language": op7_language,
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_top_k": op10_top_k,
