@@ -20,14 +20,29 @@ from .common import written
 
 WINDOW = 2048
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
-_MEMO = 600_000  # entries a worker keeps; words beyond are encoded each time
+_MEMO = 800_000  # entries a worker keeps; words beyond are encoded each time
+
+
+class _ByteChars(dict):
+    """For str.translate: the characters that byte-level BPE writes for a character's bytes."""
+
+    def __init__(self):
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        super().__init__()
+        self.level = ByteLevel(add_prefix_space=False, use_regex=False)
+
+    def __missing__(self, code: int) -> str:
+        self[code] = found = self.level.pre_tokenize_str(chr(code))[0][0]
+        return found
 
 
 class WordIds(dict):
     """Ids of a white-space separated word as little-endian 16 or 32-bit numbers, remembered.
 
     The tokenizer splits at white space and never looks across it, so a text's ids are its
-    words' ids joined. Words of plain Latin characters are looked up by their pieces first.
+    words' ids joined. Of the lower-casing tokenizer (`by_piece`) words are lower-cased first, and
+    those of plain Latin characters are put together from pieces that go to the BPE model directly.
     """
 
     def __init__(self, path: str):
@@ -36,6 +51,7 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.chars = self.tokenizer.model, _ByteChars()
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.latin = regex.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch  # composed, and lower-cased alike everywhere
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
@@ -47,7 +63,7 @@ class WordIds(dict):
 
     def piece(self, text: str) -> bytes:
         if (found := self.pieces.get(text)) is None:
-            found = self.encoded(text)
+            found = np.array([x.id for x in self.model.tokenize(text.translate(self.chars))], self.kind).tobytes()
             if len(self.pieces) < _MEMO:
                 self.pieces[text] = found
         return found
@@ -63,7 +79,14 @@ class WordIds(dict):
         return found
 
     def ids(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(b"".join([self[w] for w in (text or "").encode().split()]), self.kind).astype("<u4")
+        raw = (text or "").encode()
+        words = (raw if b"<|" in raw or not self.by_piece else raw.lower()).split()
+        found = list(map(self.get, words))
+        try:
+            joined = b"".join(found)
+        except TypeError:  # some are not remembered
+            joined = b"".join([self[w] if x is None else x for w, x in zip(words, found, strict=True)])
+        return np.frombuffer(joined, self.kind).astype("<u4")
 
 
 _workers: dict[str, WordIds] = {}
