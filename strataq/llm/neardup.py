@@ -256,3 +256,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     out = signed.select("doc_id", "n", "digest").join(classes, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("_root")).otherwise(F.col("doc_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of `docs` that are kept, with all their columns; of equal rows of one id one.
+
+    Rows without an id are all kept.
+    """
+    found = near_duplicates(docs, words, percent, text, doc_id).where("kept and doc_id is not null").select(F.col("doc_id").alias(doc_id)).distinct()
+    named = docs.join(found, doc_id, "left_semi").withColumn("_h", F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))).dropDuplicates([doc_id, "_h"]).drop("_h")
+    return named.select(*docs.columns).unionByName(docs.where(F.col(f"`{doc_id}`").isNull()))

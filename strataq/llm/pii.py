@@ -186,3 +186,11 @@ def digest_columns(found: DataFrame, kinds: Sequence[str] = BASE_KINDS) -> DataF
 
     counts = [count(k) for k in kinds]
     return found.select("doc_id", *counts, F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+
+
+def mask_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """`docs` with all spans found in their texts masked."""
+    found = personal_data(docs, text, doc_id).where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("spans").alias("_spans")).dropDuplicates(["_id", "_h"])
+    h = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    both = docs.withColumn("_hash", h).join(found, F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")), "left")
+    return both.withColumn(text, F.when(F.col("_spans").isNull(), F.col(f"`{text}`")).otherwise(masked(F.col(f"`{text}`"), F.col("_spans")))).select(*docs.columns)

@@ -140,6 +140,20 @@ def _sample(rows: DataFrame, most: int, salt: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 20)) < int(share * (1 << 20)))
 
 
+def learned(x: DataFrame, labels: DataFrame, held_out: Column) -> Network | None:
+    """The fitted network, or none without trusted positives. x: doc_id, x (features)."""
+    marks = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")).where(~held_out)
+    marked = written(x.join(_sample(marks, 2 * MOST_POSITIVE, 1), "doc_id"), "labelled").select("x", "quality").toPandas()
+    if not (marked.quality == 1).any():
+        return None
+    given, y = np.stack(marked.x.to_list()), (marked.quality.to_numpy() == 1).astype(float)
+    pool = x.where(F.col("doc_id").isNotNull()).join(marks, "doc_id", "left_anti")
+    unlabelled = _sample(pool, MOST_UNLABELLED, 2).select("x").toPandas().x
+    net = fit(given[y == 1], np.stack(unlabelled.to_list()) if len(unlabelled) else given, float(np.clip(y.mean(), 0.05, 0.95)))
+    calibrate(net, given, y)
+    return net
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, held_out: Column, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score, predicted of every row.
 
@@ -149,17 +163,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out: Column, text: st
     alike. Other columns don't matter.
     """
     x = written(featured(docs, text, doc_id), "features")
-    marks = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")).where(~held_out)
-    marked = written(x.join(_sample(marks, 2 * MOST_POSITIVE, 1), "doc_id"), "labelled").select("x", "quality").toPandas()
-    net = None
-    if (marked.quality == 1).any():
-        given, y = np.stack(marked.x.to_list()), (marked.quality.to_numpy() == 1).astype(float)
-        positive = given[y == 1]
-        pool = x.where(F.col("doc_id").isNotNull()).join(marks, "doc_id", "left_anti")
-        unlabelled = [r.x for r in _sample(pool, MOST_UNLABELLED, 2).select("x").toLocalIterator()]
-        unlabelled = np.array(unlabelled) if len(unlabelled) else given
-        net = fit(positive, unlabelled, float(np.clip(y.mean(), 0.05, 0.95)))
-        calibrate(net, given, y)
+    net = learned(x, labels, held_out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,3 +173,18 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out: Column, text: st
 
     kind = dict(x.dtypes)["doc_id"]
     return x.select("doc_id", held_out.alias("held_out"), "x").mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, held_out: Column, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.3) -> DataFrame:
+    """The rows of `docs` that score `threshold` or more, with all their columns; texts aren't shuffled."""
+    net = learned(written(featured(docs, text, doc_id), "features"), labels, held_out)
+    if net is None:
+        return docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = np.array([text_features(t.as_py()) for t in batch.column(text)])
+                yield batch.filter(pa.array(net.score(x) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
