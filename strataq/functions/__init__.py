@@ -1 +1,5 @@
-"""functions of the question-curation engine."""
+"""Text expressions, all built in."""
+
+from .text import character_count, content_id, in_sample, normalised, only_letters, window_hashes, words
+
+__all__ = ["character_count", "content_id", "in_sample", "normalised", "only_letters", "window_hashes", "words"]

@@ -1 +1 @@
-"""operators of the question-curation engine."""
+"""Question review, difficulty, generation and augmentation."""

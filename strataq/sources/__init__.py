@@ -1 +1,5 @@
-"""sources of the question-curation engine."""
+"""Tables and the stand-in table service."""
+
+from .tables import TABLES, load
+
+__all__ = ["TABLES", "load"]

@@ -1 +1,5 @@
-"""streaming of the question-curation engine."""
+"""Incremental synchronisation and event windows."""
+
+from .sync import event_windows, incremental, sessions
+
+__all__ = ["event_windows", "incremental", "sessions"]
