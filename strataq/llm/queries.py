@@ -110,6 +110,18 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, size, text_crc32, 'key' AS law, shard,
           row_number() OVER (PARTITION BY shard ORDER BY CAST('0x' || substr(md5(k), 1, 8) AS BIGINT), doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard
         FROM p""",
+    "op3_near_duplicates": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))) END AS items FROM w),
+        c AS (SELECT min(doc_id) AS rep, items, list(doc_id) AS docs FROM s GROUP BY items, CASE WHEN len(items) = 0 THEN doc_id END),
+        e AS (SELECT rep, len(items) AS size, unnest(items) AS item FROM c),
+        p AS (SELECT a.rep AS a, b.rep AS b, any_value(a.size) AS na, any_value(b.size) AS nb, count(*) AS common FROM e a JOIN e b ON a.item = b.item AND a.rep <> b.rep GROUP BY ALL),
+        l AS (SELECT a, b FROM p WHERE 100 * common >= 80 * (na + nb - common)),
+        r AS (SELECT rep, rep AS other FROM c UNION SELECT r.rep, l.b FROM r JOIN l ON r.other = l.a),
+        m AS (SELECT rep, min(other) AS root FROM r GROUP BY rep),
+        d AS (SELECT unnest(docs) AS doc_id, rep, len(items) AS n_shingles FROM c)
+        SELECT doc_id, n_shingles, root AS component_id, doc_id = root AS kept FROM d JOIN m USING (rep)""",
     "op8_mixing": r"""
         WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
                      CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 12) AS BIGINT) AS k FROM documents),
