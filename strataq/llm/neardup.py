@@ -7,9 +7,10 @@ a round, so they do end. Two sets agree in a coordinate as often as they are ali
 of equal coordinates is as concentrated as with independent minima.
 
 Documents with equal sets are one class from the start. Bands of a class's sketch are its
-buckets. In each bucket the members are compared with a hub; then, only where members are still
-in different components, with 4, 16, ... further hubs, until no bucket has a pair that was neither
-compared nor joined. So no pair that shares a bucket is lost, and copies cost no pairs.
+buckets. In each bucket the members are compared with a hub. Where members beside the hub are
+still in different components, all such sets of all buckets are searched exactly, by the rare
+elements that sets which are alike must share. So no pair that shares a bucket is lost, and
+neither copies nor frequent passages cost pairs.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from .components import components
 COORDINATES = 128
 ROWS = 4  # of a band: of pairs of similarity 0.8, one in 20 million shares none of 32 bands
 #: Sketches of sets of similarity 0.8 agree in 102 of 128 coordinates, give or take 5.
-_LEAST_AGREEING = 64
+_LEAST_AGREEING = 76
 _CHUNK = 1 << 20
 _M = np.uint64(0xD1342543DE82EF95)
 _M_INV = np.uint64(pow(int(_M), -1, 1 << 64))
@@ -174,46 +175,75 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, digest binary, items binary")
 
 
-class _Verifier:
-    """Confirms candidate pairs on full sets; sets are read from the texts of the pairs' members only."""
-
-    def __init__(self, docs: DataFrame, reps: DataFrame, words: int, percent: int):
-        self.docs, self.reps, self.words, self.percent = docs, reps, words, percent
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """Of pairs (hub, rep), distinct, those that are alike, as u, v."""
-        percent, schema = self.percent, "u bigint, v bigint"
-        side = lambda new: self.reps.select(F.col("rep").alias(new), F.col("n").alias(f"n_{new}"), F.col("small").alias(f"small_{new}"))
-        sized = pairs.join(side("rep"), "rep").join(side("hub"), "hub")
-        sized = sized.where((100 * F.least("n_rep", "n_hub") >= percent * F.greatest("n_rep", "n_hub")))
-
-        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("small_rep", "small_hub"))
-                close = pa.array((x == y).sum(axis=1) >= _LEAST_AGREEING)
-                yield pa.RecordBatch.from_arrays([batch.column("hub").filter(close), batch.column("rep").filter(close)], names=["hub", "rep"])
-
-        likely = written(sized.select("hub", "rep", "small_rep", "small_hub").mapInArrow(near, "hub bigint, rep bigint"), "pairs")
-        nodes = likely.select(F.col("rep")).union(likely.select("hub")).distinct()
-        needed = self.reps.join(nodes, "rep").select(F.col("rep").alias("doc_id"), "digest")
-        texts = self.docs.join(needed.select("doc_id").distinct(), "doc_id").select("doc_id", "text")
-        sets = written(full_sets(texts, self.words).join(needed, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id"]), "sets")
-        of = lambda new: sets.select(F.col("doc_id").alias(new), F.col("items").alias(f"items_{new}"))
-
-        def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                u, v = [], []
-                for hub, rep, x, y in zip(*(batch.column(c).to_pylist() for c in ("hub", "rep", "items_hub", "items_rep")), strict=True):
-                    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                    common = len(np.intersect1d(a, b, assume_unique=True))
-                    if 100 * common >= percent * (len(a) + len(b) - common):
-                        u.append(rep)
-                        v.append(hub)
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
-
-        return written(likely.join(of("rep"), "rep").join(of("hub"), "hub").select("hub", "rep", "items_hub", "items_rep").mapInArrow(alike, schema), "links")
+def _alike(pairs: DataFrame, sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Of distinct candidate pairs (u, v) those that are alike: sizes and sketches first, then full sets."""
+    side = lambda new: reps.select(F.col("rep").alias(new), F.col("n").alias(f"n_{new}"), F.col("small").alias(f"small_{new}"))
+    sized = pairs.join(side("u"), "u").join(side("v"), "v").where(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v"))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("small_u", "small_v"))
+            close = pa.array((x == y).sum(axis=1) >= _LEAST_AGREEING)
+            yield pa.RecordBatch.from_arrays([batch.column("u").filter(close), batch.column("v").filter(close)], names=["u", "v"])
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sure = []
+            for x, y in zip(batch.column("items_u").to_pylist(), batch.column("items_v").to_pylist(), strict=True):
+                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                sure.append(100 * common >= percent * (len(a) + len(b) - common))
+            sure = pa.array(sure, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("u").filter(sure), batch.column("v").filter(sure)], names=["u", "v"])
+
+    schema = "u bigint, v bigint"
+    likely = sized.select("u", "v", "small_u", "small_v").mapInArrow(near, schema)
+    of = lambda new: sets.select(F.col("doc_id").alias(new), F.col("items").alias(f"items_{new}"))
+    return written(likely.join(of("u"), "u").join(of("v"), "v").select("u", "v", "items_u", "items_v").mapInArrow(alike, schema), "links")
+
+
+def _placed(rows: DataFrame, roots: DataFrame, node: str, comp: str) -> DataFrame:
+    """`rows` with the component of `node` so far."""
+    named = roots.select(F.col("node").alias(node), F.col("root").alias("_root"))
+    return rows.join(named, node, "left").withColumn(comp, F.coalesce("_root", node)).drop("_root")
+
+
+def _tokens(sets: DataFrame) -> DataFrame:
+    """doc_id, comp, n, item: a row per element."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items = [np.frombuffer(x, np.int64) for x in batch.column("items").to_pylist()]
+            sizes = np.array([len(x) for x in items], np.int64)
+            repeat = lambda c: np.repeat(batch.column(c).to_numpy(), sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(repeat("doc_id")), pa.array(repeat("comp")), pa.array(np.repeat(sizes, sizes)), pa.array(np.concatenate([np.zeros(0, np.int64), *items]))], names=["doc_id", "comp", "n", "item"])
+
+    return sets.select("doc_id", "comp", "items").mapInArrow(run, "doc_id bigint, comp bigint, n bigint, item bigint")
+
+
+def prefix_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """u, v: candidates among sets (doc_id, comp, items) of different components; no pair that is alike is missed.
+
+    Elements of a set are ranked by how few sets hold them. Two sets that are alike share one of
+    their first n - ceil(percent * n / 100) + 1 elements, and at the first that they share what
+    follows must still hold the overlap that they need. For the smaller set that means few
+    elements before that place, so sets that only have frequent passages in common don't meet.
+    """
+    tokens = written(_tokens(placed), "tokens")
+    often = tokens.groupBy("item").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    shared = tokens.join(often, "item")
+    doc = Window.partitionBy("doc_id")
+    place = F.col("n") - F.count(F.lit(1)).over(doc) + F.row_number().over(doc.orderBy("f", "item"))
+    ranked = shared.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+    entry = written(ranked.select("item", "doc_id", "comp", "n", (F.col("n") - F.col("place") + 1).alias("rest"), F.floor(F.log(F.col("n").cast("double")) / np.log(100 / percent)).cast("bigint").alias("bin")), "prefixes")
+    # overlap >= percent / (100 + percent) * (n_u + n_v); u is the smaller, at most one bin below
+    small = entry.where((100 + percent) * F.col("rest") >= 2 * percent * F.col("n")).select("item", "bin", F.col("doc_id").alias("u"), F.col("comp").alias("comp_u"), F.col("n").alias("n_u"), F.col("rest").alias("rest_u"))
+    large = entry.select("item", F.explode(F.array(F.col("bin"), F.col("bin") - 1, F.col("bin") - 2)).alias("bin"), F.col("doc_id").alias("v"), F.col("comp").alias("comp_v"), F.col("n").alias("n_v"), F.col("rest").alias("rest_v"))
+    fits = (100 + percent) * F.least("rest_u", "rest_v") >= percent * (F.col("n_u") + F.col("n_v"))
+    order = (F.col("n_u") < F.col("n_v")) | ((F.col("n_u") == F.col("n_v")) & (F.col("u") < F.col("v")))
+    return small.join(large, ["item", "bin"]).where(fits & order & (F.col("comp_u") != F.col("comp_v"))).select("u", "v").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -231,27 +261,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     spread = reps.select("rep", F.explode("bands").alias("bucket"))
     hubs = spread.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("_other")).where("hub < _other").drop("_other")
     members = written(spread.join(hubs, "bucket").select("bucket", "rep", "hub").where("rep <> hub"), "members")
-    verifier = _Verifier(given, reps.select("rep", "n", "digest", "small"), words, percent)
-    links = verifier.links(members.select("hub", "rep").distinct())
+    # the full sets of all that share a bucket, from their texts
+    needed = reps.join(members.select("rep").union(members.select("hub")).distinct(), "rep").select(F.col("rep").alias("doc_id"), "digest")
+    texts = given.join(needed.select("doc_id").distinct(), "doc_id").select("doc_id", "text")
+    sets = written(full_sets(texts, words).join(needed, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id"]), "sets")
+    # each with one hub; then with its other hubs, unless they are joined by now
+    links = _alike(members.groupBy(F.col("rep").alias("u")).agg(F.min("hub").alias("v")), sets, reps, percent)
+    roots = components(links)
+    open_pairs = _placed(_placed(members.select(F.col("rep").alias("u"), F.col("hub").alias("v")).distinct(), roots, "u", "cu"), roots, "v", "cv").where("cu <> cv").select("u", "v")
+    links = links.unionByName(_alike(open_pairs, sets, reps, percent))
+    roots = components(links)
+    # members of a bucket that are not yet one component with each other: exact search among them
+    placed = _placed(members.select("bucket", "rep"), roots, "rep", "comp")
+    split = placed.groupBy("bucket").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a < _b").select("bucket")
+    rest = placed.join(split, "bucket", "left_semi").select(F.col("rep").alias("doc_id"), "comp").distinct()
+    links = links.unionByName(_alike(prefix_pairs(sets.join(rest, "doc_id").select("doc_id", "comp", "items"), percent), sets, reps, percent))
     roots = components(links)
-    several = members.groupBy("bucket").agg(F.min("rep").alias("_a"), F.max("rep").alias("_b")).where("_a < _b").select("bucket")
-    # members of a bucket beside its hub, of buckets where they are not yet one component
-    ranked, done, hub_count = None, 0, 4
-    while True:
-        base = members.select("bucket", "rep").join(several, "bucket") if ranked is None else ranked
-        placed = base.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("root", "rep")).drop("root")
-        split = placed.groupBy("bucket").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), F.count(F.lit(1)).alias("_n")).where((F.col("_a") < F.col("_b")) & (F.col("_n") > done)).select("bucket")
-        rest = placed.join(split, "bucket", "left_semi")
-        if ranked is None:
-            rest = rest.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("rep")))
-        rest = written(rest, "open-buckets")
-        if rest.isEmpty():
-            break
-        heads = rest.where((F.col("rank") > done) & (F.col("rank") <= done + hub_count)).select("bucket", F.col("rep").alias("hub"), F.col("comp").alias("hub_comp"), F.col("rank").alias("hub_rank"))
-        pairs = rest.join(heads, "bucket").where("rank > hub_rank and comp <> hub_comp").select("hub", "rep").distinct()
-        links = written(links.unionByName(verifier.links(pairs)).distinct(), "links")
-        roots = components(links)
-        ranked, done, hub_count = rest.select("bucket", "rep", "rank"), done + hub_count, 4 * hub_count
     classes = reps.select("digest", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("_root"))
     out = signed.select("doc_id", "n", "digest").join(classes, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("_root")).otherwise(F.col("doc_id")))
