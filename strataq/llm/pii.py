@@ -5,7 +5,8 @@ and credentials in well-known forms are the seeds of the method: every token wit
 instance, and each has lexical patterns (the words before it with its shape; its prefix with its
 shape). Patterns and instances form a graph that is scored in turns: a pattern is worth the mean
 of its distinct instances, an instance its best pattern. Instances of patterns worth trusting are
-found although no form names them, as kind `secret` or as the kind of their seeds.
+found although no form names them, as kind `secret` or as the kind of their seeds. Tokens of
+digits alone teach patterns but are never added: the base's checks (Luhn, lengths) decide on them.
 """
 
 from __future__ import annotations
@@ -152,7 +153,7 @@ def personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     inside = F.filter("base", lambda s: (s["start"] < F.col("t.end")) & (F.col("t.start") < s["end"]))
     named = F.when((F.length("t.value") >= 12) & F.col("t.before").rlike(_NAMED), "secret").when(F.col("t.value").rlike(_KEY_ID), "secret")
     seed = F.coalesce(F.get(inside, F.lit(0))["kind"], named)
-    rows = written(each.select("doc_id", "h", "t.start", "t.end", "t.value", _patterns(F.col("t.value"), F.col("t.before")).alias("patterns"), (F.size(inside) > 0).alias("known"), seed.alias("seed")), "instances")
+    rows = written(each.select("doc_id", "h", "t.start", "t.end", "t.value", _patterns(F.col("t.value"), F.col("t.before")).alias("patterns"), ((F.size(inside) > 0) | F.col("t.value").rlike("^[0-9]+$")).alias("known"), seed.alias("seed")), "instances")
     trusted = trusted_patterns(rows.select("value", "patterns", "seed"))
     open_rows = rows.where(~F.col("known")).select("doc_id", "h", "start", "end", "seed", F.explode("patterns").alias("pattern"))
     hits = open_rows.join(trusted, "pattern", "left").where("kind is not null or seed is not null").groupBy("doc_id", "h", "start", "end").agg(F.coalesce(F.max("seed"), F.max("kind")).alias("kind"))
