@@ -127,10 +127,28 @@ def _chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield begin, len(texts)
 
 
+def _parts(text: str | None, words: int) -> list[str | None]:
+    """A very long text in parts that have all its shingles, so that its arrays stay small."""
+    if len(text or "") <= 4 * _CHUNK:
+        return [text]
+    all_words = [w.decode() for w in text.encode().split()]
+    step = _CHUNK // 8
+    return [" ".join(all_words[i : i + step + words - 1]) for i in range(0, max(1, len(all_words) - words + 1), step)]
+
+
+def _sets(texts: list[str | None], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """As `shingle_sets`; here a text may be of any length."""
+    parts = [_parts(t, words) for t in texts]
+    if all(len(p) == 1 for p in parts):
+        return shingle_sets([p[0] for p in parts], words)
+    found = [np.unique(np.concatenate([shingle_sets([x], words)[1] for x in p])) for p in parts]
+    return np.repeat(np.arange(len(texts)), [len(x) for x in found]), np.concatenate(found)
+
+
 def _per_set(texts: list[str | None], words: int, with_sketch: bool) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray | None]]:
     """(first, last, set bounds, hashes, sketches) of runs of texts."""
     for lo, hi in _chunks(texts):
-        owner, hashes = shingle_sets(texts[lo:hi], words)
+        owner, hashes = _sets(texts[lo:hi], words)
         bounds = np.searchsorted(owner, np.arange(hi - lo + 1))
         yield lo, hi, bounds, hashes, sketches(owner, hashes, hi - lo) if with_sketch else None
 

@@ -77,6 +77,17 @@ def test_sketch_is_filled_and_fair():
     assert (got[1] == got[2]).mean() > 0.95 and (got[0] == got[1]).mean() < 0.05 and got.shape == (3, COORDINATES)
 
 
+def test_a_very_long_text_in_parts(monkeypatch):
+    from strataq.llm import neardup
+
+    rng = Random(8)
+    texts = [" ".join(f"é{rng.randrange(50)}\x1c" for _ in range(n)) for n in (3000, 2, 700)] + [None]
+    want = shingle_sets(texts, 4)
+    monkeypatch.setattr(neardup, "_CHUNK", 400)
+    assert len(neardup._parts(texts[0], 4)) > 10
+    assert all((a == b).all() for a, b in zip(neardup._sets(texts, 4), want, strict=True))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 200), (200, 150), (7, 7)] + [(1000, x) for x in range(1001, 1100)]
     got = dict(tuple(r) for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect())
