@@ -113,19 +113,30 @@ class BiGRU:
         total = np.zeros((len(texts), len(self.languages)))
         if not len(owner):
             return total
-        x = np.frombuffer(b"".join(t.ljust(p * SEGMENT, b"\0") for t, p in zip(texts, parts.tolist(), strict=True)), np.uint8).reshape(-1, SEGMENT)
-        nth = np.arange(len(owner)) - (np.cumsum(parts) - parts)[owner]
-        lengths = np.minimum(SEGMENT, sizes[owner] - nth * SEGMENT)
-        short = np.flatnonzero(lengths < SEGMENT)
+        x = np.frombuffer(b"".join(map(_filled, texts)), np.uint8).reshape(-1, SEGMENT)
+        # the last segment of a text may repeat bytes, which don't count again
+        rest = sizes % SEGMENT
+        last = {int(e) - 1: (int(r) if n < SEGMENT else int(r) - SEGMENT) for e, r, n in zip(np.cumsum(parts), rest, sizes, strict=True) if r}
+        uneven = np.array(sorted(last), np.int64)
         for at in range(0, len(x), BLOCK):
             y = self.positions(self.states(x[at : at + BLOCK]))
-            here = short[(short >= at) & (short < at + BLOCK)] - at
-            for i in here.tolist():
-                y[lengths[at + i] :, i] = 0
+            for i in uneven[(uneven >= at) & (uneven < at + BLOCK)].tolist():
+                if last[i] > 0:
+                    y[last[i] :, i - at] = 0
+                else:
+                    y[: -last[i], i - at] = 0
             np.add.at(total, owner[at : at + BLOCK], y.sum(0))
         return total / np.maximum(sizes, 1)[:, None]
 
 
+def _filled(text: bytes) -> bytes:
+    """Whole segments: a last one that is short reaches back, a text that is shorter goes round again."""
+    n, short = len(text), len(text) % SEGMENT
+    if not short:
+        return text
+    return text[: n - short] + text[-SEGMENT:] if n > SEGMENT else (text * (SEGMENT // n + 1))[:SEGMENT]
+
+
 def train(segments: np.ndarray, labels: np.ndarray, languages: list[str], steps: int = 300, batch: int = 96, seed: int = 5) -> BiGRU:
     """Adam over random batches, as many of each language."""
     net, rng = BiGRU(languages), np.random.default_rng(seed)
@@ -157,7 +168,8 @@ def _training_segments(rows: DataFrame) -> DataFrame:
                 for _ in range(PARTS if raw else 0):
                     at = int(rng.integers(0, max(1, len(raw) - TRAIN_SEGMENT + 1)))
                     langs.append(lang)
-                    segments.append(raw[at : at + TRAIN_SEGMENT].ljust(TRAIN_SEGMENT, b" "))
+                    part = raw[at : at + TRAIN_SEGMENT]
+                    segments.append((part * (TRAIN_SEGMENT // len(part) + 1))[:TRAIN_SEGMENT])  # short texts over again
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(segments, pa.binary())], names=["lang", "segment"])
 
     return rows.mapInArrow(run, "lang string, segment binary")
