@@ -1,19 +1,23 @@
 r"""Personal data: exact base forms, and identifiers found by bootstrapped lexical patterns.
 
-DataFrame functions only. The base finds emails, addresses, cards and phones by their form. They
-and credentials in well-known forms are the seeds of the method: every token with a digit is an
-instance, and each has lexical patterns (the words before it with its shape; its prefix with its
-shape). Patterns and instances form a graph that is scored in turns: a pattern is worth the mean
-of its distinct instances, an instance its best pattern. Instances of patterns worth trusting are
-found although no form names them, as kind `secret` or as the kind of their seeds. Tokens of
-digits alone teach patterns but are never added: the base's checks (Luhn, lengths) decide on them.
+DataFrame functions only. The base finds emails, addresses, cards and phones by their form. Its
+spans as wholes and credentials in well-known forms are the seeds of the method. Other instances
+are white-space tokens of any length with a digit or an @ (numbers that single spaces part count
+as one; edges and a label as in `id=` are cut off) and, inside tokens, runs of 8 and more letters and
+digits. Each has lexical patterns: its shape with the words before it, its shape with its prefix,
+and, of wholes, the last word before it alone. Patterns and instances form a graph that is scored
+in turns: a pattern is worth the mean of its distinct instances, an instance its best pattern.
+Instances of patterns worth trusting are found although no form names them, as kind `secret` or
+as the kind of their seeds. Values without letters have only the word before them as pattern, since
+the base's checks (Luhn, octets, lengths) reject equal shapes; that pattern counts seeds alone, and
+needs the more of them the more frequent their kind is. A token without digit and @ is never found.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import let, written
@@ -31,7 +35,13 @@ _EMAIL = rf"(?:(?<![{_LOCAL}{_MARK}])|\G)[{_LOCAL}{_MARK}]++@[A-Za-z0-9\-]++{_MA
 _IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = r"[0-9][0-9_]+"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-_INSTANCE = r"(?<![A-Za-z0-9])[A-Za-z]*+[0-9][A-Za-z0-9]*+"
+_PART = r"(?<![A-Za-z0-9])[A-Za-z]*+[0-9][A-Za-z0-9]*+"
+_GLUE = "\x02"  # stands for single spaces between numbers, one for one
+_NUMBER = r"[0-9().+/\-]"
+_GAP = rf"(?<=[0-9)])(?<=(?<!\S){_NUMBER}{{1,64}}) (?={_NUMBER}{{1,64}}(?:[\s,;:!?]|$))(?=[(+]{{0,2}}[0-9])"
+_WHOLE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+_LEAD = r"^[^\p{L}\p{N}+(]*+(?:[A-Za-z_\-]++[=:](?!//)[^\p{L}\p{N}+(]*+)?"
+_TRAIL = r"(?<=[\p{L}\p{N}=_])[^\p{L}\p{N}=_]++$"
 #: Words that name a credential, and a key id's public form.
 _NAMED = r"(?i)(?:token|password|passwd|pwd|secret|api[_-]?key|access[_-]?key|credential)[\"']?\s*[=:]\s*[\"']?$"
 _KEY_ID = r"^(?:AKIA|ASIA)[0-9A-Z]{16}$"
@@ -92,44 +102,91 @@ def base_spans(text: Column) -> dict[str, Column]:
     return {"email": email, "ip": ip, "card": card, "phone": phone}
 
 
-def _instances(text: Column) -> Column:
-    """Tokens of 8 to 128 letters and digits, with a digit: span, value, the 24 characters before."""
-    spans = F.filter(find_all(text, _INSTANCE), lambda s: (s["end"] - s["start"]).between(8, 128))
+def _blanked(text: Column, spans: Column) -> Column:
+    """`text` with spaces for all that the spans (ordered by start) cover."""
+
+    def step(acc: Column, s: Column) -> Column:
+        start = F.greatest(s["start"], acc["at"])
+        gap = F.substring(text, (acc["at"] + 1).cast("int"), (start - acc["at"]).cast("int"))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(gap, F.repeat(F.lit(" "), (s["end"] - start).cast("int")))).alias("out"))
+
+    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
+    rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
+    return F.when(F.size(spans) > 0, F.aggregate(spans, begin, step, rest)).otherwise(text)
+
+
+def _instances(text: Column, base: Column) -> Column:
+    """The base's spans, whole tokens and parts of tokens beside them: span, value, the 24 characters before, whole or not, kind if of the base."""
+    kind = "array<struct<start:bigint,end:bigint,value:string,before:string,whole:boolean,base:string>>"
     before = lambda s: F.substring(text, F.greatest(s["start"] - 23, F.lit(1)).cast("int"), F.least(s["start"], F.lit(24)).cast("int"))
-    found = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), _part(text, s).alias("value"), before(s).alias("before")))
-    kind = "array<struct<start:bigint,end:bigint,value:string,before:string>>"
-    return F.when(text.rlike("[0-9]"), found).otherwise(F.array().cast(kind))
+
+    def described(spans: Column, whole: bool, of) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), _part(text, s).alias("value"), before(s).alias("before"), F.lit(whole).alias("whole"), of(s).alias("base"))).cast(kind)
+
+    def cut(s: Column) -> Column:
+        v = _part(text, s)
+        start = s["start"] + F.length(F.regexp_extract(v, _LEAD, 0))
+        return F.struct(start.alias("start"), F.greatest(start, s["end"] - F.length(F.regexp_extract(v, _TRAIL, 0))).alias("end"))
+
+    def beside(rest: Column) -> Column:
+        glued = F.regexp_replace(F.translate(rest, _GLUE, " "), _GAP, _GLUE)
+        wholes = F.filter(F.transform(find_all(glued, _WHOLE), cut), lambda s: _part(text, s).rlike("[0-9@]"))
+        parts = F.filter(find_all(rest, _PART), lambda s: s["end"] - s["start"] >= 8)
+        none = lambda s: F.lit(None).cast("string")
+        return F.concat(described(wholes, True, none), described(parts, False, none))
+
+    found = F.concat(described(base, True, lambda s: s["kind"]), let(_blanked(text, base), beside))
+    return F.when(text.rlike("[0-9@]"), found).otherwise(F.array().cast(kind))
+
+
+def _short(x: Column) -> Column:
+    return F.when(F.length(x) > 128, F.sha2(x, 256)).otherwise(x)
 
 
-def _patterns(value: Column, before: Column) -> Column:
-    """What stands before with the shape, and the leading letters with the shape."""
-    kind = F.when(value.rlike("^[0-9]+$"), "digits").when(value.rlike("^[0-9a-f]+$|^[0-9A-F]+$"), "hex").when(value.rlike("^[0-9A-Z]+$"), "upper").otherwise("mixed")
-    shape = F.concat_ws(":", kind, F.length(value).cast("string"))
+def _patterns(value: Column, before: Column, whole: Column) -> Column:
+    """What stands before with the shape, the leading letters with the shape, and of wholes the last word before."""
+    plain = value.rlike("^[A-Za-z0-9]+$")
+    kind = F.when(value.rlike("^[0-9a-f]+$|^[0-9A-F]+$"), "hex").when(value.rlike("^[0-9A-Z]+$"), "upper").otherwise("mixed")
+    runs = F.regexp_replace(F.regexp_replace(value, r"\p{L}+", "a"), "[0-9]+", "9")
+    shape = F.when(plain, F.concat_ws(":", kind, F.length(value).cast("string"))).otherwise(F.concat(F.lit("runs:"), _short(runs)))
     words = F.regexp_extract(F.lower(before), r"(?:[^\s]+\s+)?[^\s]*$|\s+$", 0)
     left = F.regexp_replace(F.regexp_replace(words, r"\s+", " "), "[0-9]", "9")
-    prefix = F.when(kind == "hex", "").otherwise(F.substring(F.regexp_extract(value, "^[A-Za-z]+", 0), 1, 4))
-    return F.array(F.concat(F.lit("left "), shape, F.lit(" "), left), F.concat(F.lit("form "), shape, F.lit(" "), prefix))
+    prefix = F.when(~plain | (kind == "hex"), "").otherwise(F.substring(F.regexp_extract(value, "^[A-Za-z]+", 0), 1, 4))
+    last = F.regexp_extract(F.lower(before), r"(?<!\S)[^\s]*\p{L}[^\s]*(?:\s+[^\s\p{L}]*)*$", 0)
+    word = F.when(whole & (last != ""), F.concat(F.lit("word "), F.regexp_replace(F.regexp_replace(last, r"\s+", " "), "[0-9]+", "9")))
+    named = F.when(value.rlike(r"[\p{L}@]"), F.array(F.concat(F.lit("left "), shape, F.lit(" "), left), F.concat(F.lit("form "), shape, F.lit(" "), prefix))).otherwise(F.array().cast("array<string>"))
+    return F.concat(named, F.array_compact(F.array(word)))
 
 
 def trusted_patterns(instances: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """pattern, kind of the patterns worth trusting. instances: value, patterns, seed (kind or null).
 
     Every distinct instance counts once, so copies of a document don't raise a pattern; sums are
-    partial before each shuffle.
+    partial before each shuffle. A word before is worth what its seeds make it, once and for all.
     """
     edges = written(instances.select(F.explode("patterns").alias("pattern"), F.col("value"), F.col("seed")).groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "edges")
     # only patterns of at least one seed or of an instance that shares a pattern with one can gain worth
     sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_INSTANCES)
-    graph = written(edges.join(sizes, "pattern"), "graph")
-    worth = graph.where("seed is not null").select("value", F.col("seed").alias("kind"), F.lit(1.0).alias("worth")).distinct()
+    known = written(edges.join(sizes, "pattern"), "graph")
+    is_word = F.col("pattern").startswith("word ")
+    worded = edges.where(is_word)
+    # of all values that follow a word, the share of each kind: what chance alone gives
+    shares = worded.where("seed is not null").groupBy(F.col("seed").alias("kind")).agg(F.count(F.lit(1)).alias("_of")).crossJoin(F.broadcast(worded.agg(F.count(F.lit(1)).alias("_all")))).select("kind", (F.col("_of") / F.col("_all")).alias("share"))
+    by_kind = known.where(is_word & F.col("seed").isNotNull()).groupBy("pattern", F.col("seed").alias("kind")).agg(F.count(F.lit(1)).alias("_of"), F.max("n").alias("n"))
+    word_worth = by_kind.join(F.broadcast(shares), "kind").select("pattern", "kind", (F.col("_of") / (F.col("n") + 2 + 8 * F.col("share"))).alias("worth"))
+    words = written(word_worth.where(F.col("worth") >= LEAST_WORTH), "words")
+    graph = known.where(~is_word)
+    seeds = known.where("seed is not null").select("value", F.col("seed").alias("kind"), F.lit(1.0).alias("worth")).distinct()
+    by_word = known.where(is_word & F.col("seed").isNull()).join(words, "pattern").select("value", "kind", "worth")
+    worth = seeds.unionByName(by_word.groupBy("value", "kind").agg(F.max("worth").alias("worth")))
     scored = None
     for i in range(rounds):
         scored = graph.join(worth, "value").groupBy("pattern", "kind").agg((F.sum("worth") / (F.max("n") + 0.5)).alias("worth"))
         if i + 1 == rounds:
             break
-        best = graph.where("seed is null").join(scored, "pattern").groupBy("value", "kind").agg(F.max("worth").alias("worth"))
-        seeds = graph.where("seed is not null").select("value", F.col("seed").alias("kind"), F.lit(1.0).alias("worth")).distinct()
+        best = graph.where("seed is null").join(scored, "pattern").select("value", "kind", "worth").unionByName(by_word).groupBy("value", "kind").agg(F.max("worth").alias("worth"))
         worth = written(seeds.unionByName(best.where(F.col("worth") >= LEAST_WORTH / 4)), "worth")
+    scored = scored.unionByName(words)
     good = scored.where(F.col("worth") >= LEAST_WORTH)
     return written(good.groupBy("pattern").agg(F.max(F.struct("worth", "kind"))["kind"].alias("kind")), "patterns")
 
@@ -147,16 +204,18 @@ def personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), s["end"].alias("end")))
 
     base = F.array_sort(F.concat(*[ranked(k, s) for k, s in base_spans(body).items()]).cast(span))
-    found = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("h"), base.alias("base"), _instances(body).alias("tokens"))
-    narrow = written(found, "personal")
-    each = narrow.where(F.size("tokens") > 0).select("doc_id", "h", "base", F.explode("tokens").alias("t"))
-    inside = F.filter("base", lambda s: (s["start"] < F.col("t.end")) & (F.col("t.start") < s["end"]))
-    named = F.when((F.length("t.value") >= 12) & F.col("t.before").rlike(_NAMED), "secret").when(F.col("t.value").rlike(_KEY_ID), "secret")
-    seed = F.coalesce(F.get(inside, F.lit(0))["kind"], named)
-    rows = written(each.select("doc_id", "h", "t.start", "t.end", "t.value", _patterns(F.col("t.value"), F.col("t.before")).alias("patterns"), ((F.size(inside) > 0) | F.col("t.value").rlike("^[0-9]+$")).alias("known"), seed.alias("seed")), "instances")
+    found = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("h"), let(base, lambda b: F.struct(b.alias("base"), _instances(body, b).alias("tokens"))).alias("both"))
+    narrow = written(found.select("doc_id", "h", "both.base", "both.tokens"), "personal")
+    each = narrow.where(F.size("tokens") > 0).select("doc_id", "h", F.explode("tokens").alias("t"))
+    named = F.when((F.length("t.value") >= 12) & F.col("t.value").rlike("[0-9]") & ~F.col("t.value").rlike("^[0-9]+$|://") & F.col("t.before").rlike(_NAMED), "secret").when(F.col("t.value").rlike(_KEY_ID), "secret")
+    patterns = _patterns(F.col("t.value"), F.col("t.before"), F.col("t.whole"))
+    rows = written(each.select("doc_id", "h", "t.start", "t.end", _short(F.col("t.value")).alias("value"), patterns.alias("patterns"), F.col("t.base").isNotNull().alias("known"), F.coalesce("t.base", named).alias("seed")), "instances")
     trusted = trusted_patterns(rows.select("value", "patterns", "seed"))
-    open_rows = rows.where(~F.col("known")).select("doc_id", "h", "start", "end", "seed", F.explode("patterns").alias("pattern"))
+    open_rows = rows.where(~F.col("known")).select("doc_id", "h", "start", "end", "seed", F.explode_outer("patterns").alias("pattern"))
     hits = open_rows.join(trusted, "pattern", "left").where("kind is not null or seed is not null").groupBy("doc_id", "h", "start", "end").agg(F.coalesce(F.max("seed"), F.max("kind")).alias("kind"))
+    # of readings of one token the widest
+    reach = Window.partitionBy("doc_id", "h").orderBy("start", F.col("end").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    hits = hits.withColumn("_reach", F.max("end").over(reach)).where(F.col("_reach").isNull() | (F.col("end") > F.col("_reach"))).drop("_reach")
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int") - 1
     added = hits.groupBy("doc_id", "h").agg(F.collect_list(F.struct("start", rank.alias("rank"), "kind", "end")).cast(span).alias("added"))
     added = added.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "added")

@@ -63,6 +63,30 @@ def test_patterns_find_unseen(spark):
     assert all(not got[200 + i].spans for i in range(8))
 
 
+def test_base_kinds_find_unseen(spark):
+    """Labels of base spans find what no form names: with separators, short, long, of digits alone."""
+    unseen = {
+        "email": ("write to: {}", [f"user{i}.x{i}@mail{i}.example.com" for i in range(30)], ["ann.lee77(at)example.com", "root@localhost", "x" * 140 + "9@intern"]),
+        "ip": ("host: {}", [f"10.{i}.7.{i + 1}" for i in range(30)], ["fe80::1ff:fe23:4567:890a"]),
+        "phone": ("call phone: {}", [f"+1 ({i + 100}) 555-0{i + 100}" for i in range(30)], ["(052) 555-0934", "0305559876", "5550"]),
+    }
+    docs, want, n = [], {}, 0
+    for kind, (frame, seeds, others) in unseen.items():
+        for value in [*seeds, *others]:
+            docs.append((n, "Some words before; " + frame.format(value) + " and after"))
+            want[n] = [(kind, value)]
+            n += 1
+    for i in range(30):  # numbers that the check of cards rejects, after words of all kinds
+        digits = str(4539578763621000 + 37 * i)
+        docs.append((n, f"seen of {digits} there"))
+        want[n] = [("card", digits)] if luhn(digits) else []
+        n += 1
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    text = dict(docs)
+    for r in personal_data(df).collect():
+        assert [(s.kind, text[r.doc_id][s.start : s.end]) for s in r.spans] == want[r.doc_id]
+
+
 def test_odd_rows(spark):
     rows = [(None, "me a@b.co", 1, "x"), (1, None, 2, "y"), (2, "me a@b.co", 3, None), (2, "me a@b.co", 3, None)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, base int, spans string")
