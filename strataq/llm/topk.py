@@ -3,8 +3,9 @@
 In a block each dimension is a list sorted by its component. A query reads its lists from the
 end that its own component's sign makes best, all to one depth. What has been read, and the last
 value read of each list, bound every row's score from below and above; rows whose upper bound is
-under the k-th best lower bound are out, and reading goes deeper until few are left. Only then
-are the scores of those left resolved. Bounds of a whole block are two matrix products.
+under the k-th best lower bound are out. A query stops once k rows are left; the others read
+deeper, to the ends of the lists at last, where bounds are scores. Bounds of a whole block are
+four matrix products a depth.
 """
 
 from __future__ import annotations
@@ -14,13 +15,38 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEPTHS = (0.125, 0.375)
+DEPTHS = (0.125, 0.375, 0.625, 0.875, 1.0)
 
 
 def _exact(rows: np.ndarray, queries: np.ndarray) -> bool:
     return float(np.abs(rows).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(1, rows.shape[1]) < 2.0**52
 
 
+def read_lists(x: np.ndarray, q: np.ndarray, alive: np.ndarray, k: int, depths: tuple[float, ...] = DEPTHS) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that stay for each query, and the depth at which it stopped. The last depth is 1; doubles that hold all scores."""
+    n = len(x)
+    alive, stopped = alive.copy(), np.ones(len(q))
+    lists = np.sort(x, axis=0)  # ascending; read from either end
+    low, high = lists[0], lists[-1]
+    open_ = np.arange(len(q))
+    for depth in depths:
+        at = min(n - 1, int(depth * n))
+        last_high, last_low = lists[n - 1 - at], lists[at]
+        plus, minus = np.maximum(q[open_], 0).T, np.minimum(q[open_], 0).T
+        # a component not yet read lies between the list's far end and the last value read
+        upper = np.maximum(x, last_high) @ plus + np.minimum(x, last_low) @ minus if at < n - 1 else x @ q[open_].T
+        lower = np.where(x >= last_high, x, low) @ plus + np.where(x <= last_low, x, high) @ minus if at < n - 1 else upper
+        best = np.where(alive[open_].T, lower, -np.inf)
+        kth = np.partition(best, n - k, axis=0)[n - k]
+        alive[open_] &= (upper >= kth).T
+        done = alive[open_].sum(axis=1) <= k
+        stopped[open_[done]] = depth
+        open_ = open_[~done]
+        if not len(open_):
+            break
+    return alive, stopped
+
+
 def nra_block(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, depths: tuple[float, ...] = DEPTHS) -> list[tuple[int, int, int]]:
     """(query_id, vec_id, score) of each query's k best rows here, ties to smaller ids. Integer arrays."""
     n = len(ids)
@@ -32,19 +58,8 @@ def nra_block(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries:
     alive = np.ones((len(q), n), bool)
     own = query_ids[:, None] == ids[None, :]
     alive &= ~own
-    if exact and n > 4 * k:
-        plus, minus = np.maximum(q, 0), np.minimum(q, 0)
-        lists = np.sort(x, axis=0)  # ascending; read from either end
-        low, high = lists[0], lists[-1]
-        for depth in depths:
-            at = min(n - 1, int(depth * n))
-            last_high, last_low = lists[n - 1 - at], lists[at]
-            # a component not yet read lies between the list's far end and the last value read
-            upper = np.maximum(x, last_high) @ plus.T + np.minimum(x, last_low) @ minus.T
-            lower = np.where(x >= last_high, x, low) @ plus.T + np.where(x <= last_low, x, high) @ minus.T
-            best = np.where(alive.T, lower, -np.inf)
-            kth = np.partition(best, n - k, axis=0)[n - k]
-            alive &= (upper >= kth).T
+    if exact and n > k:
+        alive, _ = read_lists(x, q, alive, k, depths)
     for row, query in enumerate(query_ids):
         left = np.flatnonzero(alive[row])
         scores = x[left] @ q[row]

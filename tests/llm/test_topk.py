@@ -4,7 +4,7 @@ from random import Random
 import numpy as np
 from pyspark.sql import functions as F
 
-from strataq.llm.topk import nra_block, top_k, whole_components
+from strataq.llm.topk import nra_block, read_lists, top_k, whole_components
 
 
 def brute(vectors, queries, k):
@@ -43,3 +43,16 @@ def test_block_with_large_numbers_and_ties():
         for q, i, s in got:
             found.setdefault(q, []).append((q, len(found.get(q, [])) + 1, i, s))
         assert sorted(x for v in found.values() for x in v) == want
+
+
+def test_lists_are_read_until_k_are_left():
+    rng = np.random.default_rng(4)
+    flat = rng.integers(-400, 400, (300, 32)).astype(float)  # bounds say little before the end
+    skewed = np.c_[rng.permutation(300) * 1000, flat[:, :3]].astype(float)  # and much where one list decides
+    for rows, least, most in ((flat, 0.625, 1.0), (skewed, 0.125, 0.125)):
+        queries = np.abs(rows[:20]) + 1
+        alive, stopped = read_lists(rows, queries, np.ones((20, 300), bool), 5)
+        scores = rows @ queries.T
+        for i in range(20):
+            assert sorted(scores[alive[i], i]) == sorted(scores[:, i])[-5:]
+        assert ((stopped >= least) & (stopped <= most)).mean() >= 0.8
