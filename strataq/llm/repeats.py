@@ -1,7 +1,8 @@
-"""Repeated byte strings across documents, by a depth-limited radix sort of suffixes.
+"""Repeated byte strings across documents, by minimizers and digests in place of a radix sort of suffixes.
 
-A window is `threshold` bytes that start at one place of one document. Windows are refined most
-significant digit first, and only while their group is neither alone nor settled:
+A window is `threshold` bytes that start at one place of one document. Only equality of windows is
+asked for, so none is ordered by its bytes. Windows are refined in three steps ("digits" below), and
+only while their group is neither alone nor settled:
 
 1. Each window is filed under the place of its least hashed gram (of all grams in the window,
    the rightmost of equals), which follows from its bytes alone. A place stands for a run of
