@@ -1,8 +1,8 @@
 """A table service as a Python data source, with a folder standing in for the remote side.
 
 A batch is one file named by its partition and content, moved into place when complete, so
-that writing a batch again changes nothing. `commit` lists the batches that count; `abort` removes
-what the failed write left.
+that writing a batch again changes nothing. `commit` lists the batches that count, those of
+writes before too unless it overwrites; `abort` removes what the failed write left.
 """
 
 from __future__ import annotations
@@ -21,9 +21,17 @@ class Sent(WriterCommitMessage):
     rows: int
 
 
+def _committed(path: str) -> list[str]:
+    with open(os.path.join(path, "committed.json")) as f:
+        return json.load(f)
+
+
 class TableWriter(DataSourceWriter):
-    def __init__(self, path: str, columns: list[str]):
-        self.path, self.columns = path, columns
+    def __init__(self, path: str, columns: list[str], overwrite: bool = False):
+        self.path, self.columns, self.overwrite = path, columns, overwrite
+
+    def _before(self) -> list[str]:
+        return _committed(self.path) if os.path.exists(os.path.join(self.path, "committed.json")) else []
 
     def write(self, rows):
         lines = [json.dumps({c: row[c] for c in self.columns}, sort_keys=True, default=str) for row in rows]
@@ -38,13 +46,16 @@ class TableWriter(DataSourceWriter):
         return Sent(name if lines else "", len(lines))
 
     def commit(self, messages):
+        before = [] if self.overwrite else self._before()
+        new = [m.name for m in messages if m and m.name and m.name not in before]
         with open(os.path.join(self.path, ".committed.new"), "w") as f:
-            json.dump(sorted(m.name for m in messages if m and m.name), f)
+            json.dump(sorted(before + new), f)
         os.replace(os.path.join(self.path, ".committed.new"), os.path.join(self.path, "committed.json"))
 
     def abort(self, messages):
+        before = self._before()  # a batch sent again is still one of an earlier write
         for m in messages:
-            if m and m.name and os.path.exists(os.path.join(self.path, m.name)):
+            if m and m.name and m.name not in before and os.path.exists(os.path.join(self.path, m.name)):
                 os.remove(os.path.join(self.path, m.name))
 
 
@@ -53,8 +64,7 @@ class TableReader(DataSourceReader):
         self.path, self.columns = path, columns
 
     def partitions(self):
-        with open(os.path.join(self.path, "committed.json")) as f:
-            return [InputPartition(name) for name in json.load(f)]
+        return [InputPartition(name) for name in _committed(self.path)]
 
     def read(self, partition):
         with open(os.path.join(self.path, partition.value)) as f:
@@ -74,7 +84,7 @@ class TableService(DataSource):
         return "doc_id bigint, op string, content_hash string"
 
     def writer(self, schema, overwrite):
-        return TableWriter(self.options["path"], schema.names)
+        return TableWriter(self.options["path"], schema.names, overwrite)
 
     def reader(self, schema):
         return TableReader(self.options["path"], schema.names)

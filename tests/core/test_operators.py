@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strataq.functions import normalised
 from strataq.operators import agent, augment, review, sync
-from strataq.sources.service import TableReader, TableWriter
+from strataq.sources.service import TableReader, TableService, TableWriter
 from strataq.streaming import event_windows, incremental
 
 
@@ -107,6 +107,23 @@ def test_service_batches(tmp_path):
     assert [r for p in reader.partitions() for r in reader.read(p)] == [(1, "insert"), (2, "delete")]
 
 
+def test_service_keeps_what_was_sent_before(spark, tmp_path):
+    path = str(tmp_path / "remote")
+    spark.dataSource.register(TableService)
+    rows = lambda *ids: spark.createDataFrame([(i, "insert", "x") for i in ids], "doc_id bigint, op string, content_hash string").coalesce(1)
+    send = lambda df, mode: df.write.format("table_service").option("path", path).mode(mode).save()
+    read = lambda: sorted(r.doc_id for r in spark.read.format("table_service").option("path", path).load().collect())
+    send(rows(1, 2), "append")
+    send(rows(3), "append")
+    send(rows(3), "append")  # again: changes nothing
+    assert read() == [1, 2, 3]
+    writer = TableWriter(path, ["doc_id", "op", "content_hash"])
+    writer.abort([writer.write(iter([{"doc_id": 3, "op": "insert", "content_hash": "x"}]))])
+    assert read() == [1, 2, 3]
+    send(rows(4), "overwrite")
+    assert read() == [4]
+
+
 def test_incremental_runs_each_file_once(spark, tmp_path):
     src, out, mark = (str(tmp_path / x) for x in ("src", "out", "mark"))
     spark.range(5).coalesce(1).write.parquet(src)
