@@ -268,23 +268,30 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     """doc_id, n_shingles, component_id, kept of every row; alike are 100 * common >= percent * union.
 
     Null and empty texts have no shingle and are linked with nothing. Rows with equal sets are
-    always linked, repeated rows so too. A row without an id can't be named: it links nothing,
-    its component_id is null and it is kept. Different texts under one id are each judged by
-    themselves, but count as one node if both stand for their class. Other columns don't matter.
+    always linked, repeated rows so too. A class of equal sets is a node of its own, whatever its
+    ids are, and components are named by the least id in them. A row without an id links others
+    as any row does, but can't be named: its component_id is null and it is kept. Different texts
+    under one id are each judged by themselves; the least ids of classes that are the same id
+    make the classes one component. Other columns don't matter.
     """
     given = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     signed = written(signatures(given, words), "signatures")
-    named = signed.where("n > 0 and doc_id is not null")
-    reps = written(named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("small").alias("small")), "classes")
-    spread = reps.select("rep", F.explode("bands").alias("bucket"))
-    hubs = spread.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("_other")).where("hub < _other").drop("_other")
-    members = written(spread.join(hubs, "bucket").select("bucket", "rep", "hub").where("rep <> hub"), "members")
+    classes = signed.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("small").alias("small"))
+    reps = written(classes.select(F.monotonically_increasing_id().alias("rep"), *classes.columns), "classes")
+    # hubs are of the least ids: the same one in all buckets of a group
+    key = F.struct(F.coalesce("least", F.lit(2**63 - 1)).alias("least"), "rep")
+    spread = reps.select("rep", key.alias("key"), F.explode("bands").alias("bucket"))
+    hubs = spread.groupBy("bucket").agg(F.min("key").alias("first"), F.max("key").alias("_other")).where("first < _other").drop("_other")
+    members = written(spread.join(hubs, "bucket").select("bucket", "rep", F.col("first.rep").alias("hub"), "first").where("rep <> hub"), "members")
     # the full sets of all that share a bucket, from their texts
-    needed = reps.join(members.select("rep").union(members.select("hub")).distinct(), "rep").select(F.col("rep").alias("doc_id"), "digest")
-    texts = given.join(needed.select("doc_id").distinct(), "doc_id").select("doc_id", "text")
-    sets = written(full_sets(texts, words).join(needed, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id"]), "sets")
+    needed = reps.join(members.select("rep").union(members.select("hub")).distinct(), "rep").select("rep", "least", "digest")
+    nameless = given.where("doc_id is null").join(needed.where("least is null").select(F.lit(True).alias("_")).limit(1), how="left_semi")
+    texts = given.join(needed.select(F.col("least").alias("doc_id")).distinct(), "doc_id").select("doc_id", "text").unionByName(nameless)
+    sets = written(full_sets(texts, words).drop("doc_id").join(needed.select("digest", F.col("rep").alias("doc_id")), "digest").select("doc_id", "digest", "items").dropDuplicates(["doc_id"]), "sets")
     # each with one hub; then with its other hubs, unless they are joined by now
-    links = _alike(members.groupBy(F.col("rep").alias("u")).agg(F.min("hub").alias("v")), sets, reps, percent)
+    same_id = reps.groupBy("least").agg(F.min("rep").alias("v"), F.max("rep").alias("_other")).where("least is not null and v < _other").select("least", "v")
+    one_id = reps.join(same_id, "least").where("rep <> v").select(F.col("rep").alias("u"), "v")
+    links = _alike(members.groupBy(F.col("rep").alias("u")).agg(F.min("first")["rep"].alias("v")), sets, reps, percent).unionByName(one_id)
     roots = components(links)
     open_pairs = _placed(_placed(members.select(F.col("rep").alias("u"), F.col("hub").alias("v")).distinct(), roots, "u", "cu"), roots, "v", "cv").where("cu <> cv").select("u", "v")
     links = links.unionByName(_alike(open_pairs, sets, reps, percent))
@@ -295,7 +302,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     rest = placed.join(split, "bucket", "left_semi").select(F.col("rep").alias("doc_id"), "comp").distinct()
     links = links.unionByName(_alike(prefix_pairs(sets.join(rest, "doc_id").select("doc_id", "comp", "items"), percent), sets, reps, percent))
     roots = components(links)
-    classes = reps.select("digest", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("_root"))
+    rooted = written(reps.select("digest", "rep", "least").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("digest", "least", F.coalesce("root", "rep").alias("root")), "rooted")
+    names = rooted.groupBy("root").agg(F.min("least").alias("_root"))
+    classes = rooted.join(names, "root").select("digest", "_root")
     out = signed.select("doc_id", "n", "digest").join(classes, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("_root")).otherwise(F.col("doc_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

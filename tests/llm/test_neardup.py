@@ -66,6 +66,20 @@ def test_odd_rows(spark):
     assert run(spark, [], 4) == []
 
 
+def test_links_of_nameless_rows_and_of_all_texts_of_an_id(spark):
+    rng = Random(9)
+    base = [[f"{x}{rng.randrange(10**6)}" for _ in range(100)] for x in "abc"]
+    near = lambda w, *at: " ".join(["new" if i in at else x for i, x in enumerate(w)])
+    a, b, c = base
+    rows = [(20, near(a, 3, 20)), (None, near(a, 50, 3)), (21, near(a, 50, 80))]  # 20 - none - 21: the ends alone aren't alike
+    rows += [(1, near(b)), (5, near(b, 50)), (1, near(c)), (6, near(c, 50))]  # id 1 is the least of two classes' links
+    assert [x[2] for x in run(spark, [rows[0], rows[2]], 4)] == [20, 21]
+    want = {(None, None), (20, 20), (21, 20), (1, 1), (5, 1), (6, 1)}
+    for _ in range(2):
+        assert {(i, comp) for i, _, comp, _ in run(spark, rows, 4)} == want
+        rng.shuffle(rows)
+
+
 def test_sketch_is_filled_and_fair():
     rng = Random(7)
     a, b = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(n)) for n in (1, 900)]
