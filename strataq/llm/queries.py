@@ -13,7 +13,7 @@ from .common import id_remainder, table
 def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .repeats import cut_repeats
 
-    return cut_repeats(table(spark, sf_dir, "documents"), 400).drop("kept")
+    return cut_repeats(table(spark, sf_dir, "documents"), 400, 50).drop("kept")
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
