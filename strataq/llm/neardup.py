@@ -9,8 +9,10 @@ of equal coordinates is as concentrated as with independent minima.
 Documents with equal sets are one class from the start. Bands of a class's sketch are its
 buckets. In each bucket the members are compared with a hub. Where members beside the hub are
 still in different components, all such sets of all buckets are searched exactly, by the rare
-elements that sets which are alike must share. So no pair that shares a bucket is lost, and
-neither copies nor frequent passages cost pairs.
+elements that sets which are alike must share. So no pair that shares a bucket is lost. An element
+that many such sets share (pages of one template, say) doesn't cost a row a pair: its sets
+meet in blocks, where sizes, places and odd sketches (Mitzenmacher et al., 2014; the parities of
+set bits bound the symmetric difference from below) leave hardly more than what is alike.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -31,6 +33,8 @@ ROWS = 4  # of a band: of pairs of similarity 0.8, one in 20 million shares none
 #: Sketches of sets of similarity 0.8 agree in 102 of 128 coordinates, give or take 5.
 _LEAST_AGREEING = 76
 _CHUNK = 1 << 20
+#: Sets that share a rare element meet by a join up to _FEW, beyond it in blocks of _BLOCK with odd sketches of _BITS bits.
+_FEW, _BLOCK, _BITS, _SAMPLED = 32, 2048, 2048, 1024
 _M = np.uint64(0xD1342543DE82EF95)
 _M_INV = np.uint64(pow(int(_M), -1, 1 << 64))
 _powers: list[np.ndarray] = []
@@ -241,6 +245,68 @@ def _tokens(sets: DataFrame) -> DataFrame:
     return sets.select("doc_id", "comp", "items").mapInArrow(run, "doc_id bigint, comp bigint, n bigint, item bigint")
 
 
+def _bin(n: Column, percent: int) -> Column:
+    """Sizes of sets that are alike are in the same bin or in neighbouring ones, or, by rounding, in the next."""
+    return F.floor(F.log(n.cast("double")) / np.log(100 / percent)).cast("bigint")
+
+
+def _halvings(bins: np.ndarray, percent: int) -> np.ndarray:
+    """How often the sets that meet in a bin (their sizes lie in it and the two above) are halved for the sketch."""
+    return np.maximum(0, np.ceil(np.log2((100 / percent) ** (bins + 3.0) / _SAMPLED))).astype(np.int64)
+
+
+def odd_sketches(items: list[np.ndarray], halvings: np.ndarray) -> np.ndarray:
+    """Rows of _BITS bits: parities of the hashes in each place, of elements that a hash leaves after so many halvings."""
+    owner = np.repeat(np.arange(len(items)), [len(x) for x in items])
+    x = np.concatenate([np.zeros(0, np.uint64), *items])
+    kept = (x & ((np.uint64(1) << halvings[owner].astype(np.uint64)) - np.uint64(1))) == 0
+    place = (x[kept] >> np.uint64(40)) % np.uint64(_BITS)
+    counts = np.bincount(owner[kept] * _BITS + place.astype(np.int64), minlength=len(items) * _BITS)
+    return np.packbits((counts & 1).astype(np.uint8).reshape(-1, _BITS), axis=1)
+
+
+def _sketched(sets: DataFrame, percent: int) -> DataFrame:
+    """doc_id, odd0, odd1, odd2: odd sketches of each set for its bin, and for the bins one and two below."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                items = [np.frombuffer(x, np.uint64) for x in part.column("items").to_pylist()]
+                own = part.column("own").to_numpy()
+                odd = [pa.array([r.tobytes() for r in odd_sketches(items, _halvings(own - k, percent))], pa.binary()) for k in range(3)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *odd], names=["doc_id", "odd0", "odd1", "odd2"])
+
+    own = _bin(F.floor(F.octet_length("items") / 8), percent).alias("own")
+    return sets.select("doc_id", "items", own).mapInArrow(run, "doc_id bigint, odd0 binary, odd1 binary, odd2 binary")
+
+
+def _fits(n_u, n_v, rest_u, rest_v, least, percent: int):
+    """Whether the overlap that two sets need, percent / (100 + percent) of both sizes, is still left where they meet."""
+    return (100 + percent) * least(rest_u, rest_v) >= percent * (n_u + n_v)
+
+
+def _block_pairs(rows: pa.Table, percent: int) -> pa.Table:
+    """u, v of one block: `home` rows against the others of their element and bin."""
+    c = {x: rows.column(x).to_numpy() for x in ("doc_id", "comp", "n", "rest", "home", "bin")}
+    odd = np.frombuffer(b"".join(rows.column("odd").to_pylist()), np.uint64).reshape(len(rows), -1)
+    home, other = np.flatnonzero(c["home"]), np.flatnonzero(~c["home"])
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    rate = 0.5 ** float(_halvings(c["bin"][:1], percent)[0])
+    id_v, comp_v, n_v, rest_v, odd_v = c["doc_id"][other], c["comp"][other], c["n"][other], c["rest"][other], odd[other]
+    for i in home:
+        n, key = c["n"][i], c["doc_id"][i]
+        later = (n < n_v) | ((n == n_v) & (key < id_v))
+        at = np.flatnonzero(later & (comp_v != c["comp"][i]) & _fits(n, n_v, c["rest"][i], rest_v, np.minimum, percent))
+        if len(at):
+            most = n + n_v[at] - 2 * -(-percent * (n + n_v[at]) // (100 + percent))  # elements in one of two sets that are alike
+            limit = most if rate == 1 else most * rate + 6 * np.sqrt(most * rate) + 6
+            at = at[np.bitwise_count(odd_v[at] ^ odd[i]).sum(axis=1, dtype=np.int64) <= limit]
+            found.append((np.full(len(at), key), id_v[at]))
+    u, v = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+
 def prefix_pairs(placed: DataFrame, percent: int) -> DataFrame:
     """u, v: candidates among sets (doc_id, comp, items) of different components; no pair that is alike is missed.
 
@@ -248,6 +314,9 @@ def prefix_pairs(placed: DataFrame, percent: int) -> DataFrame:
     their first n - ceil(percent * n / 100) + 1 elements, and at the first that they share what
     follows must still hold the overlap that they need. For the smaller set that means few
     elements before that place, so sets that only have frequent passages in common don't meet.
+    Groups of few sets are joined. The sets of a larger group are dealt to blocks by a hash, and all
+    pairs of blocks are compared by odd sketches, but for those inside the group's largest component: up to _SAMPLED elements a set these rule out
+    only what is surely not alike; larger sets are halved first, with room for six deviations.
     """
     tokens = written(_tokens(placed), "tokens")
     often = tokens.groupBy("item").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
@@ -255,13 +324,35 @@ def prefix_pairs(placed: DataFrame, percent: int) -> DataFrame:
     doc = Window.partitionBy("doc_id")
     place = F.col("n") - F.count(F.lit(1)).over(doc) + F.row_number().over(doc.orderBy("f", "item"))
     ranked = shared.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
-    entry = written(ranked.select("item", "doc_id", "comp", "n", (F.col("n") - F.col("place") + 1).alias("rest"), F.floor(F.log(F.col("n").cast("double")) / np.log(100 / percent)).cast("bigint").alias("bin")), "prefixes")
-    # overlap >= percent / (100 + percent) * (n_u + n_v); u is the smaller, at most one bin below
-    small = entry.where((100 + percent) * F.col("rest") >= 2 * percent * F.col("n")).select("item", "bin", F.col("doc_id").alias("u"), F.col("comp").alias("comp_u"), F.col("n").alias("n_u"), F.col("rest").alias("rest_u"))
-    large = entry.select("item", F.explode(F.array(F.col("bin"), F.col("bin") - 1, F.col("bin") - 2)).alias("bin"), F.col("doc_id").alias("v"), F.col("comp").alias("comp_v"), F.col("n").alias("n_v"), F.col("rest").alias("rest_v"))
-    fits = (100 + percent) * F.least("rest_u", "rest_v") >= percent * (F.col("n_u") + F.col("n_v"))
-    order = (F.col("n_u") < F.col("n_v")) | ((F.col("n_u") == F.col("n_v")) & (F.col("u") < F.col("v")))
-    return small.join(large, ["item", "bin"]).where(fits & order & (F.col("comp_u") != F.col("comp_v"))).select("u", "v").distinct()
+    entry = ranked.select("item", "doc_id", "comp", "n", (F.col("n") - F.col("place") + 1).alias("rest"), _bin(F.col("n"), percent).alias("bin"))
+    # overlap >= percent / (100 + percent) * (n_u + n_v); u, at home, is the smaller, at most two bins below
+    roles = F.explode(F.array(*[F.struct((F.col("bin") - k).alias("bin"), F.lit(k).alias("below"), F.lit(home).alias("home")) for k, home in ((0, True), (0, False), (1, False), (2, False))])).alias("role")
+    able = ~F.col("home") | ((100 + percent) * F.col("rest") >= 2 * percent * F.col("n"))
+    roled = entry.select("item", "doc_id", "comp", "n", "rest", roles).select("item", "doc_id", "comp", "n", "rest", "role.*").where(able)
+    group = ["item", "bin"]
+    by_comp = roled.groupBy(*group, "comp").agg(F.sum(F.col("home").cast("int")).alias("homes"), F.sum((~F.col("home")).cast("int")).alias("others"))
+    top = F.max(F.struct("others", "comp", "homes"))
+    sized = by_comp.groupBy(*group).agg(F.sum("homes").alias("homes"), F.sum("others").alias("others"), F.count(F.lit(1)).alias("_comps"), top.alias("top")).where("homes > 0 and _comps > 1").drop("_comps")
+    met = written(roled.join(sized, group), "prefixes")
+    few = met.where(F.col("others") <= _FEW)
+    side = lambda home, x: few.where(F.col("home") == home).select(*group, *[F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "comp", "n", "rest")])
+    order = (F.col("n_u") < F.col("n_v")) | ((F.col("n_u") == F.col("n_v")) & (F.col("doc_id_u") < F.col("doc_id_v")))
+    fits = _fits(F.col("n_u"), F.col("n_v"), F.col("rest_u"), F.col("rest_v"), F.least, percent)
+    joined = side(True, "u").join(side(False, "v"), group).where(fits & order & (F.col("comp_u") != F.col("comp_v"))).select(F.col("doc_id_u").alias("u"), F.col("doc_id_v").alias("v"))
+    many = met.where(F.col("others") > _FEW)
+    odd = written(_sketched(placed.join(many.select("doc_id").distinct(), "doc_id", "left_semi"), percent), "odd")
+    many = many.join(odd, "doc_id").withColumn("odd", F.when(F.col("below") == 0, F.col("odd0")).when(F.col("below") == 1, F.col("odd1")).otherwise(F.col("odd2")))
+    # the largest component (0) and the rest (1) have blocks of their own; 0 meets 1 alone
+    blocks = lambda count: F.ceil(count / _BLOCK).cast("int")
+    n_blocks = {("homes", 0): blocks(F.col("top.homes")), ("others", 0): blocks(F.col("top.others")), ("homes", 1): blocks(F.col("homes") - F.col("top.homes")), ("others", 1): blocks(F.col("others") - F.col("top.others"))}
+    of = lambda role, part: F.transform(F.filter(F.sequence(F.lit(0), n_blocks[role, part]), lambda i: i < n_blocks[role, part]), lambda i: 2 * i + part)
+    rest = F.col("comp") != F.col("top.comp")
+    across = lambda role: F.when(rest, F.concat(of(role, 0), of(role, 1))).otherwise(of(role, 1))
+    own = lambda role: F.when(rest, 2 * F.pmod(F.xxhash64("doc_id"), n_blocks[role, 1]) + 1).otherwise(2 * F.pmod(F.xxhash64("doc_id"), n_blocks[role, 0])).cast("int")
+    cell = F.when(F.col("home"), F.transform(across("others"), lambda j: F.struct(own("homes").alias("i"), j.alias("j")))).otherwise(F.transform(across("homes"), lambda i: F.struct(i.alias("i"), own("others").alias("j"))))
+    dealt = many.select(*group, "doc_id", "comp", "n", "rest", "home", "odd", F.explode(cell).alias("cell")).select("*", "cell.i", "cell.j").drop("cell")
+    compared = dealt.groupBy(*group, "i", "j").applyInArrow(lambda rows: _block_pairs(rows, percent), "u bigint, v bigint")
+    return joined.unionByName(compared).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

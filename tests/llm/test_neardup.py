@@ -3,7 +3,8 @@ from random import Random
 import numpy as np
 
 from strataq.llm.components import components
-from strataq.llm.neardup import COORDINATES, near_duplicates, shingle_sets, sketches
+from strataq.llm import neardup
+from strataq.llm.neardup import COORDINATES, near_duplicates, odd_sketches, prefix_pairs, shingle_sets, sketches
 
 
 def shingles(text, k):
@@ -60,6 +61,56 @@ def test_frequent_but_unlike(spark):
     assert sorted(run(spark, rows, 4)) == brute(rows, 4)
 
 
+def template_sets(rng, n, size, kept, parents=0):
+    """Random parts of one set, each element kept with this chance and the rest its own; `parents` of them have a near copy."""
+    template = rng.integers(0, 2**63, size, np.uint64)
+    sets = []
+    for _ in range(n):
+        mine = template[rng.random(size) < kept]
+        sets.append(np.unique(np.concatenate([mine, rng.integers(0, 2**63, size - len(mine), np.uint64)])))
+    for x in sets[:parents]:
+        sets.append(np.unique(np.concatenate([x[len(x) // 20 :], rng.integers(0, 2**63, 3, np.uint64)])))
+    return sets
+
+
+def alike(sets):
+    pairs = ((i, j) for i in range(len(sets)) for j in range(i))
+    both = lambda a, b: len(np.intersect1d(a, b, assume_unique=True))
+    return {(j, i) for i, j in pairs if 180 * both(sets[i], sets[j]) >= 80 * (len(sets[i]) + len(sets[j]))}
+
+
+def test_blocks_lose_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "_FEW", 4)
+    monkeypatch.setattr(neardup, "_BLOCK", 30)
+    monkeypatch.setattr(neardup, "_SAMPLED", 100)
+    rng = np.random.default_rng(2)
+    sets = template_sets(rng, 120, 90, 0.9, 20) + template_sets(rng, 60, 400, 0.92, 20)
+    comp = [i if i % 5 else 1000 for i in range(len(sets))]
+    rows = [(i, comp[i], bytearray(x.tobytes())) for i, x in enumerate(sets)]
+    found = prefix_pairs(spark.createDataFrame(rows, "doc_id bigint, comp bigint, items binary").repartition(3), 80).collect()
+    found = {tuple(sorted(r)) for r in found}
+    wanted = {(i, j) for i, j in alike(sets) if comp[i] != comp[j]}
+    assert wanted and wanted <= found and all(comp[i] != comp[j] for i, j in found)
+
+
+def test_candidates_of_one_template_grow_with_its_documents(spark):
+    """Sets that are 0.66 alike in pairs, and near copies of some: few candidates but the copies."""
+    rng = np.random.default_rng(3)
+    sets = template_sets(rng, 2000, 120, 0.81, 100)
+    rows = [(i, i, bytearray(x.tobytes())) for i, x in enumerate(sets)]
+    found = {tuple(sorted(r)) for r in prefix_pairs(spark.createDataFrame(rows, "doc_id bigint, comp bigint, items binary").repartition(4), 80).collect()}
+    assert {(i, 2000 + i) for i in range(100)} <= found and len(found) < 4000
+
+
+def test_odd_sketches_bound_the_difference():
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 2**63, 900, np.uint64)
+    sets = [a, a[50:], np.concatenate([a[:800], rng.integers(0, 2**63, 200, np.uint64)]), a[:0]]
+    x = odd_sketches(sets, np.zeros(4, np.int64))
+    apart = lambda i, j: int(np.bitwise_count(x[i] ^ x[j]).sum())
+    assert [apart(0, 0), apart(0, 1) <= 50, apart(0, 2) <= 300, apart(0, 2) > 240, apart(3, 3)] == [0, True, True, True, 0]
+
+
 def test_odd_rows(spark):
     rows = [(None, "a b c d e", 1, "p"), (3, "a b c d e", 2, "q"), (3, "a b c d e", 2, None), (4, None, None, None)]
     assert run(spark, rows, 4, "doc_id bigint, text string, n int, digest string") == [(3, 2, 3, True), (3, 2, 3, True), (4, 0, 4, True), (None, 2, None, True)]
@@ -92,8 +143,6 @@ def test_sketch_is_filled_and_fair():
 
 
 def test_a_very_long_text_in_parts(monkeypatch):
-    from strataq.llm import neardup
-
     rng = Random(8)
     texts = [" ".join(f"é{rng.randrange(50)}\x1c" for _ in range(n)) for n in (3000, 2, 700)] + [None]
     want = shingle_sets(texts, 4)
