@@ -48,6 +48,16 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def with_row(docs: DataFrame, **named: Column) -> DataFrame:
+    """`row`, all columns of `docs` as a struct, and the named ones: no name of `docs` can clash with a helper's."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[x.alias(name) for name, x in named.items()])
+
+
+def of_row(docs: DataFrame, **replaced: Column) -> list[Column]:
+    """The columns of `docs` from `row`, some replaced."""
+    return [replaced.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
+
+
 def md5_int(text: Column, digits: int = 12) -> Column:
     """The first hexadecimal digits of md5 as a non-negative long (15 digits at most)."""
     return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("bigint")

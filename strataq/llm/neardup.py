@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import of_row, with_row, written
 from .components import components
 
 COORDINATES = 128
@@ -319,7 +319,8 @@ def prefix_pairs(placed: DataFrame, percent: int) -> DataFrame:
     only what is surely not alike; larger sets are halved first, with room for six deviations.
     """
     tokens = written(_tokens(placed), "tokens")
-    often = tokens.groupBy("item").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    # written, so that both sides of a join are plain exchanges, which adaptive execution can split
+    often = written(tokens.groupBy("item").agg(F.count(F.lit(1)).alias("f")).where("f > 1"), "often")
     shared = tokens.join(often, "item")
     doc = Window.partitionBy("doc_id")
     place = F.col("n") - F.count(F.lit(1)).over(doc) + F.row_number().over(doc.orderBy("f", "item"))
@@ -332,7 +333,8 @@ def prefix_pairs(placed: DataFrame, percent: int) -> DataFrame:
     group = ["item", "bin"]
     by_comp = roled.groupBy(*group, "comp").agg(F.sum(F.col("home").cast("int")).alias("homes"), F.sum((~F.col("home")).cast("int")).alias("others"))
     top = F.max(F.struct("others", "comp", "homes"))
-    sized = by_comp.groupBy(*group).agg(F.sum("homes").alias("homes"), F.sum("others").alias("others"), F.count(F.lit(1)).alias("_comps"), top.alias("top")).where("homes > 0 and _comps > 1").drop("_comps")
+    sized = by_comp.groupBy(*group).agg(F.sum("homes").alias("homes"), F.sum("others").alias("others"), F.count(F.lit(1)).alias("comps"), top.alias("top"))
+    sized = written(sized.where("homes > 0 and comps > 1").drop("comps"), "groups")
     met = written(roled.join(sized, group), "prefixes")
     few = met.where(F.col("others") <= _FEW)
     side = lambda home, x: few.where(F.col("home") == home).select(*group, *[F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "comp", "n", "rest")])
@@ -404,8 +406,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of `docs` that are kept, with all their columns; of equal rows of one id one.
 
-    Rows without an id are all kept.
+    Null and empty texts are like nothing else and stay, once an id. Different texts under the id of
+    a kept row stay, since a result by id can't tell them apart. Rows without an id are all kept.
+    Columns may have any names; an empty table stays empty.
     """
-    found = near_duplicates(docs, words, percent, text, doc_id).where("kept and doc_id is not null").select(F.col("doc_id").alias(doc_id)).distinct()
-    named = docs.join(found, doc_id, "left_semi").withColumn("_h", F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))).dropDuplicates([doc_id, "_h"]).drop("_h")
-    return named.select(*docs.columns).unionByName(docs.where(F.col(f"`{doc_id}`").isNull()))
+    found = near_duplicates(docs, words, percent, text, doc_id).where("kept and doc_id is not null").select(F.col("doc_id").alias("id")).distinct()
+    body = F.col(f"`{text}`")
+    rows = with_row(docs, id=F.col(f"`{doc_id}`").cast("bigint"), h=F.xxhash64(F.coalesce(body, F.lit(""))))
+    named = rows.join(found, "id", "left_semi").dropDuplicates(["id", "h"])
+    return named.select(*of_row(docs)).unionByName(docs.where(F.col(f"`{doc_id}`").isNull()))

@@ -156,3 +156,12 @@ def test_components(spark):
     got = dict(tuple(r) for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect())
     assert got == {i: 0 for i in range(1, 51)} | {150: 100, 200: 100} | {x: 1000 for x in range(1001, 1100)}
     assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_one_of_each_with_any_column_names(spark):
+    rows = [(1, "a b c d e f", "x", 1), (2, "a b c d e f", "y", 2), (3, None, "z", 3), (3, None, "z", 3), (None, "a b c d e f", "w", 4), (4, "", "v", 5)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, _h string, id int")
+    got = neardup.one_of_each(df)
+    assert got.columns == df.columns
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted([rows[0], rows[2], rows[4], rows[5]], key=str)
+    assert neardup.one_of_each(df.limit(0)).count() == 0

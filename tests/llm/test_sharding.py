@@ -45,3 +45,13 @@ def test_clashing_columns(spark):
     df = spark.createDataFrame([(1, "a", "b"), (2, "c", None)], "doc_id bigint, shard string, grown_shard string")
     got = assign_shards(df, "doc_id", [1.0] * 3)
     assert got.columns == ["doc_id", "shard", "grown_shard"] and {r.shard for r in got.collect()} <= {0, 1, 2}
+
+
+def test_any_column_names(spark):
+    df = spark.createDataFrame([(i % 50, str(i), i, "k") for i in range(200)], "doc_id bigint, _placed string, hash int, c0 string")
+    out = number_slots(assign_shards(df, "doc_id", [1.0] * 3).withColumn("n", F.lit(1)).withColumn("_hash", F.lit(2)), "doc_id")
+    assert {*df.columns, "shard", "grown_shard", "n", "_hash", "slot"} == set(out.columns)
+    assert sorted(tuple(r) for r in out.select(*df.columns).collect()) == sorted(tuple(r) for r in df.collect())
+    for shard in range(3):
+        slots = sorted(r.slot for r in out.where(F.col("shard") == shard).collect())
+        assert slots == list(range(len(slots)))
