@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, key_text, md5_int, written
+from .common import WORD, key_text, md5_int, of_row, with_row, written
+from .spans import find_all
 
 WEIGHTS = (5, 2, 1)
 _KEY_DIGITS, _BUCKETS = 12, 4096
@@ -109,13 +110,15 @@ def narrow_columns(docs: DataFrame, keep: Sequence[str]) -> list[Column]:
 
 def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", weights: Sequence[int] = WEIGHTS, share_percent: int = 150, most_epochs: int = 2) -> DataFrame:
     """The mix itself, with the columns of `docs`: each row as often as it is taken whole, and the row
-    at a source's cut up to the last word that its budget has. Rows without words aren't taken."""
-    from .pii import find_all
+    at a source's cut up to the last word that its budget has. Rows without words aren't taken.
 
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *[F.col(f"`{c}`").alias(n) for c, n in ((text, "text"), (source, "source"), (doc_id, "doc_id"))])
-    placed = mix(row, weights=weights, share_percent=share_percent, most_epochs=most_epochs, keep=["_row", "text"])
+    Null sources form one source, the last; rows without an id and repeated rows are rows like
+    others. Columns may have any names; an empty table stays empty.
+    """
+    row = with_row(docs, **{n: F.col(f"`{c}`") for c, n in ((text, "text"), (source, "source"), (doc_id, "doc_id"))})
+    placed = mix(row, weights=weights, share_percent=share_percent, most_epochs=most_epochs, keep=["row", "text"])
     whole, part = F.floor(F.col("taken") / F.col("size")), F.col("taken") % F.col("size")
     copies = placed.where("taken > 0").withColumns({"_whole": whole, "_part": part}).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_whole") + F.when(F.col("_part") > 0, 1).otherwise(0))))
     end = F.element_at(find_all(F.col("text"), WORD), F.col("_part").cast("int"))["end"]
     cut = F.when(F.col("_copy") > F.col("_whole"), F.substring("text", F.lit(1), end.cast("int"))).otherwise(F.col("text"))
-    return copies.select(*[cut.alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+    return copies.select(*of_row(docs, **{text: cut}))

@@ -20,7 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, written
+from .common import let, of_row, with_row, written
+from .spans import find_all, part, pieces, replaced
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret")
@@ -46,29 +47,7 @@ _TRAIL = r"(?<=[\p{L}\p{N}=_])[^\p{L}\p{N}=_]++$"
 _NAMED = r"(?i)(?:token|password|passwd|pwd|secret|api[_-]?key|access[_-]?key|credential)[\"']?\s*[=:]\s*[\"']?$"
 _KEY_ID = r"^(?:AKIA|ASIA)[0-9A-Z]{16}$"
 
-_SPAN = "array<struct<start:bigint,end:bigint>>"
-
-
-def find_all(text: Column, pattern: str) -> Column:
-    """Spans (code points, end exclusive) of all matches from left to right. The pattern has no group to return."""
-    pieces = F.transform(F.split(text, pattern, -1), lambda x: F.length(x).cast("bigint"))
-    sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda x: F.length(x).cast("bigint"))
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        return F.struct((start + x["size"]).alias("at"), F.concat(acc["starts"], F.array(start)).alias("starts"))
-
-    def spans(m: Column) -> Column:
-        paired = F.zip_with(F.slice(pieces, 1, F.size(m)), m, lambda g, s: F.struct(g.alias("gap"), s.alias("size")))
-        nothing = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("starts"))
-        starts = F.aggregate(paired, nothing, step, lambda acc: acc["starts"])
-        return F.zip_with(starts, m, lambda a, s: F.struct(a.alias("start"), (a + s).alias("end")))
-
-    return let(sizes, spans)
-
-
-def _part(text: Column, span: Column) -> Column:
-    return F.substring(text, (span["start"] + 1).cast("int"), (span["end"] - span["start"]).cast("int"))
+_FOUND = "array<struct<start:bigint,end:bigint,value:string>>"
 
 
 def _digits(value: Column) -> Column:
@@ -85,58 +64,56 @@ def _luhn(digits: Column) -> Column:
 
 
 def base_spans(text: Column) -> dict[str, Column]:
-    """By kind the spans of the base; `text` isn't null. Texts that can't hold a kind aren't searched for it."""
-    none = F.array().cast(_SPAN)
+    """By kind the spans of the base (start, end, value as searched); `text` isn't null. Texts that can't hold a kind aren't searched for it."""
+    none = F.array().cast(_FOUND)
     dotted = F.regexp_replace(F.translate(text, _MARK, " "), r"(?<=[A-Za-z0-9\-])\.(?=[A-Za-z0-9\-])", _MARK)
     email = F.when(F.contains(text, F.lit("@")), find_all(dotted, _EMAIL)).otherwise(none)
     octet = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
-    ip = F.when(text.rlike(r"[0-9]\.[0-9]"), F.filter(find_all(text, _IP), lambda s: _part(text, s).rlike(rf"^{octet}\.{octet}\.{octet}\.{octet}$"))).otherwise(none)
+    ip = F.when(text.rlike(r"[0-9]\.[0-9]"), F.filter(find_all(text, _IP), lambda s: s["value"].rlike(rf"^{octet}\.{octet}\.{octet}\.{octet}$"))).otherwise(none)
     joined = F.regexp_replace(F.regexp_replace(text, r"[^0-9 \-]", "x"), r"(?<=[0-9])[ \-](?=[0-9])", "_")
 
     def is_card(s: Column) -> Column:
-        d = _digits(_part(text, s))
-        return let(d, lambda x: F.length(x).between(12, 19) & F.when(F.length(x).between(12, 19), _luhn(x)).otherwise(F.lit(False)))
+        return let(_digits(s["value"]), lambda x: F.length(x).between(12, 19) & F.when(F.length(x).between(12, 19), _luhn(x)).otherwise(F.lit(False)))
 
     card = F.when(text.rlike(r"[0-9](?:[ \-]?[0-9]){11}"), F.filter(find_all(joined, _CARD), is_card)).otherwise(none)
-    phone = F.when(F.contains(text, F.lit("+")), F.filter(find_all(text, _PHONE), lambda s: F.length(_digits(_part(text, s))).between(9, 15))).otherwise(none)
+    phone = F.when(F.contains(text, F.lit("+")), F.filter(find_all(text, _PHONE), lambda s: F.length(_digits(s["value"])).between(9, 15))).otherwise(none)
     return {"email": email, "ip": ip, "card": card, "phone": phone}
 
 
-def _blanked(text: Column, spans: Column) -> Column:
+def _blanked(text: Column, text_pieces: Column, spans: Column) -> Column:
     """`text` with spaces for all that the spans (ordered by start) cover."""
 
-    def step(acc: Column, s: Column) -> Column:
-        start = F.greatest(s["start"], acc["at"])
-        gap = F.substring(text, (acc["at"] + 1).cast("int"), (start - acc["at"]).cast("int"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(gap, F.repeat(F.lit(" "), (s["end"] - start).cast("int")))).alias("out"))
+    def blank(s: Column, reached: Column) -> Column:
+        start = F.greatest(s["start"], reached)
+        return F.concat(part(text_pieces, reached, start), F.repeat(F.lit(" "), F.greatest(s["end"] - start, F.lit(0)).cast("int")))
 
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
-    rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, begin, step, rest)).otherwise(text)
+    return replaced(text, text_pieces, spans, blank)
 
 
-def _instances(text: Column, base: Column) -> Column:
+def _instances(text: Column, text_pieces: Column, base: Column) -> Column:
     """The base's spans, whole tokens and parts of tokens beside them: span, value, the 24 characters before, whole or not, kind if of the base."""
     kind = "array<struct<start:bigint,end:bigint,value:string,before:string,whole:boolean,base:string>>"
-    before = lambda s: F.substring(text, F.greatest(s["start"] - 23, F.lit(1)).cast("int"), F.least(s["start"], F.lit(24)).cast("int"))
+    of = lambda s: part(text_pieces, s["start"], s["end"])
+    before = lambda s: part(text_pieces, F.greatest(s["start"] - 24, F.lit(0)), s["start"])
 
-    def described(spans: Column, whole: bool, of) -> Column:
-        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), _part(text, s).alias("value"), before(s).alias("before"), F.lit(whole).alias("whole"), of(s).alias("base"))).cast(kind)
+    def described(spans: Column, whole: bool, base_kind) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), of(s).alias("value"), before(s).alias("before"), F.lit(whole).alias("whole"), base_kind(s).alias("base"))).cast(kind)
 
     def cut(s: Column) -> Column:
-        v = _part(text, s)
-        start = s["start"] + F.length(F.regexp_extract(v, _LEAD, 0))
-        return F.struct(start.alias("start"), F.greatest(start, s["end"] - F.length(F.regexp_extract(v, _TRAIL, 0))).alias("end"))
+        def edges(v: Column) -> Column:
+            start = s["start"] + F.length(F.regexp_extract(v, _LEAD, 0))
+            return F.struct(start.alias("start"), F.greatest(start, s["end"] - F.length(F.regexp_extract(v, _TRAIL, 0))).alias("end"))
+
+        return let(of(s), edges)
 
     def beside(rest: Column) -> Column:
         glued = F.regexp_replace(F.translate(rest, _GLUE, " "), _GAP, _GLUE)
-        wholes = F.filter(F.transform(find_all(glued, _WHOLE), cut), lambda s: _part(text, s).rlike("[0-9@]"))
+        wholes = F.filter(F.transform(find_all(glued, _WHOLE), cut), lambda s: of(s).rlike("[0-9@]"))
         parts = F.filter(find_all(rest, _PART), lambda s: s["end"] - s["start"] >= 8)
         none = lambda s: F.lit(None).cast("string")
         return F.concat(described(wholes, True, none), described(parts, False, none))
 
-    found = F.concat(described(base, True, lambda s: s["kind"]), let(_blanked(text, base), beside))
-    return F.when(text.rlike("[0-9@]"), found).otherwise(F.array().cast(kind))
+    return F.concat(described(base, True, lambda s: s["kind"]), let(_blanked(text, text_pieces, base), beside))
 
 
 def _short(x: Column) -> Column:
@@ -204,8 +181,9 @@ def personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), s["end"].alias("end")))
 
     base = F.array_sort(F.concat(*[ranked(k, s) for k, s in base_spans(body).items()]).cast(span))
-    found = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("h"), let(base, lambda b: F.struct(b.alias("base"), _instances(body, b).alias("tokens"))).alias("both"))
-    narrow = written(found.select("doc_id", "h", "both.base", "both.tokens"), "personal")
+    cut = let(pieces(body), lambda p: let(base, lambda b: F.struct(b.alias("base"), _instances(body, p, b).alias("tokens"))))
+    found = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("h"), F.when(body.rlike("[0-9@]"), cut).alias("both"))
+    narrow = written(found.select("doc_id", "h", F.coalesce("both.base", F.array().cast(span)).alias("base"), F.col("both.tokens").alias("tokens")), "personal")
     each = narrow.where(F.size("tokens") > 0).select("doc_id", "h", F.explode("tokens").alias("t"))
     named = F.when((F.length("t.value") >= 12) & F.col("t.value").rlike("[0-9]") & ~F.col("t.value").rlike("^[0-9]+$|://") & F.col("t.before").rlike(_NAMED), "secret").when(F.col("t.value").rlike(_KEY_ID), "secret")
     patterns = _patterns(F.col("t.value"), F.col("t.before"), F.col("t.whole"))
@@ -230,13 +208,11 @@ def span_text(spans: Column) -> Column:
 def masked(text: Column, spans: Column) -> Column:
     """`text` with each span as its kind in angle brackets; of spans that overlap the first names the whole."""
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(gap, F.concat(F.lit("<"), s["kind"], F.lit(">"))))).otherwise(acc["out"]).alias("out"))
+    def mask(p: Column) -> Column:
+        named = lambda s, reached: F.concat(part(p, reached, s["start"]), F.lit("<"), s["kind"], F.lit(">"))
+        return replaced(text, p, spans, lambda s, reached: F.when(s["start"] >= reached, named(s, reached)).otherwise(""))
 
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
-    rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, begin, step, rest)).otherwise(text)
+    return F.when(F.size(spans) > 0, let(pieces(text), mask)).otherwise(text)
 
 
 def digest_columns(found: DataFrame, kinds: Sequence[str] = BASE_KINDS) -> DataFrame:
@@ -249,8 +225,14 @@ def digest_columns(found: DataFrame, kinds: Sequence[str] = BASE_KINDS) -> DataF
 
 
 def mask_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """`docs` with all spans found in their texts masked."""
-    found = personal_data(docs, text, doc_id).where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("spans").alias("_spans")).dropDuplicates(["_id", "_h"])
-    h = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    both = docs.withColumn("_hash", h).join(found, F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")), "left")
-    return both.withColumn(text, F.when(F.col("_spans").isNull(), F.col(f"`{text}`")).otherwise(masked(F.col(f"`{text}`"), F.col("_spans")))).select(*docs.columns)
+    """`docs` with all spans found in their texts masked; null and empty texts stay as they are.
+
+    Rows without an id and repeated rows are masked like others. Columns may have any names.
+    """
+    found = personal_data(docs, text, doc_id).where(F.size("spans") > 0).dropDuplicates(["doc_id", "h"])
+    found = found.select(F.col("doc_id").alias("found_id"), F.col("h").alias("found_h"), "spans")
+    body = F.col(f"`{text}`")
+    rows = with_row(docs, doc_id=F.col(f"`{doc_id}`"), text=body, h=F.xxhash64(F.coalesce(body, F.lit(""))))
+    both = rows.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("h") == F.col("found_h")), "left")
+    out = F.when(F.col("spans").isNull(), F.col("text")).otherwise(masked(F.col("text"), F.col("spans")))
+    return both.select(*of_row(docs, **{text: out}))

@@ -59,3 +59,10 @@ def test_the_mix_itself(spark):
         words[r.source] += len(r.text.split())
         cut += r.text not in whole
     assert {s: n for s, n in words.items() if n} == {s: n for s, n in taken.items() if n} and cut <= 12
+
+
+def test_documents_of_a_mix_with_any_column_names(spark):
+    df = spark.createDataFrame([(i, "a b c d", f"s{i % 2}", "x", i) for i in range(20)], "doc_id bigint, text string, source string, row string, _copy int")
+    got = mixed_documents(df)
+    assert got.columns == df.columns and mixed_documents(df.limit(0)).count() == 0
+    assert sum(len(r.text.split()) for r in got.collect()) == 120

@@ -5,7 +5,7 @@ from random import Random
 import pytest
 from pyspark.sql import functions as F
 
-from strataq.llm.pii import digest_columns, masked, personal_data
+from strataq.llm.pii import digest_columns, mask_documents, masked, personal_data
 
 
 def luhn(d):
@@ -105,3 +105,26 @@ def test_masked(spark, text):
             want += text[at:a] + f"<{k}>"
         at = max(at, b)
     assert row == want + text[at:]
+
+
+def test_many_spans_in_one_text(spark):
+    rng = Random(5)
+    text = " ".join(rng.choice([str(rng.randrange(10**7)), f"u{i}@x{i}.co", "wörd", f"10.0.{i % 300}.1", "+49 30 1234567,"]) for i in range(30000))
+    df = spark.createDataFrame([(1, text), (2, "one@mail.de"), (3, "")], "doc_id bigint, text string")
+    got = {r.doc_id: tuple(r)[1:6] for r in digest_columns(personal_data(df)).collect()}
+    assert got == {1: expected(text), 2: expected("one@mail.de"), 3: expected("")}
+    row = df.where("doc_id = 1").join(personal_data(df), "doc_id").select(masked(F.col("text"), F.col("spans")), "spans").first()
+    want, at = [], 0
+    for s in row.spans:
+        if s.start >= at:
+            want += [text[at : s.start], f"<{s.kind}>"]
+        at = max(at, s.end)
+    assert row[0] == "".join(want) + text[at:]
+
+
+def test_masking_with_any_column_names(spark):
+    names = ["_h", "_hash", "_id", "_spans", "h", "spans", "row", "found_id"]
+    df = spark.createDataFrame([(1, "me a@b.co", *names), (None, "x 1.2.3.4", *names), (2, None, *names), (3, "", *names)], "doc_id bigint, text string, " + ", ".join(f"`{n}` string" for n in names))
+    out = mask_documents(df)
+    assert out.columns == df.columns and mask_documents(df.limit(0)).count() == 0
+    assert sorted((tuple(r) for r in out.collect()), key=str) == sorted([(1, "me <email>", *names), (None, "x <ip>", *names), (2, None, *names), (3, "", *names)], key=str)
