@@ -216,12 +216,12 @@ def masked(text: Column, spans: Column) -> Column:
 
 
 def digest_columns(found: DataFrame, kinds: Sequence[str] = BASE_KINDS) -> DataFrame:
-    """doc_id, the count of each base kind, sha256 of the base's spans, and all spans as text."""
+    """doc_id, the count of each base kind, sha256 of the base's spans, all spans as text, and how many they are."""
     def count(kind: str) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
 
     counts = [count(k) for k in kinds]
-    return found.select("doc_id", *counts, F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"), F.size("spans").cast("bigint").alias("n_spans"))
 
 
 def mask_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

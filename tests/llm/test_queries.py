@@ -1,0 +1,34 @@
+"""The registered corpus queries on the smallest tables: rows, columns, and their SQL where there is one."""
+
+import os
+
+import pytest
+
+from strataq.llm.queries import ORACLES, QUERIES
+
+DIR = "/root/testdata/sf0.001"
+duckdb = pytest.importorskip("duckdb")
+pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="no tables here")
+
+
+@pytest.fixture(scope="module")
+def con():
+    c = duckdb.connect()
+    for f in os.listdir(DIR):
+        c.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{DIR}/{f}'")
+    return c
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, con, name):
+    got = QUERIES[name](spark, DIR)
+    columns = sorted(got.columns)
+    rows = sorted((tuple(r) for r in got.select(*columns).collect()), key=repr)
+    if name not in ("op9_packing", "op10_top_k"):  # a row a document
+        assert sorted(r[columns.index("doc_id")] for r in rows) == [x for (x,) in con.execute("SELECT doc_id FROM documents ORDER BY 1").fetchall()]
+    if name in ORACLES:
+        found = con.execute(ORACLES[name])
+        names = [d[0] for d in found.description]
+        assert sorted(names) == columns
+        order = [names.index(c) for c in columns]
+        assert sorted((tuple(r[i] for i in order) for r in found.fetchall()), key=repr) == rows

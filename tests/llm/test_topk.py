@@ -1,35 +1,49 @@
 import math
+from fractions import Fraction
 from random import Random
 
 import numpy as np
-from pyspark.sql import functions as F
 
+from strataq.llm.common import written
 from strataq.llm.topk import nra_block, read_lists, top_k, whole_components
 
 
-def brute(vectors, queries, k):
+def brute(rows, ask, k):
+    """rows: (vec_id, whole numbers); of those that `ask` the k best of all others, each row its own."""
     out = []
-    for q in queries:
-        scored = sorted((-sum(a * b for a, b in zip(vectors[q], v, strict=True)), i) for i, v in vectors.items() if i != q and len(v) == len(vectors[q]))
-        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
+    for n, (q, x) in enumerate(rows):
+        if ask(q):
+            near = lambda s: min((1 << 63) - 1, max(-(1 << 63), s))
+            scored = sorted((-near(sum(a * b for a, b in zip(x, v, strict=True))), i) for m, (i, v) in enumerate(rows) if m != n and len(v) == len(x))
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
 
+def run(df, ask, **blocks):
+    whole = written(whole_components(df), "vectors")
+    return sorted(tuple(r) for r in top_k(whole.where(ask), whole, 10, **blocks).collect())
+
+
 def test_as_brute_force(spark):
     rng = Random(6)
-    vectors = {i: [rng.uniform(-1, 1) for _ in range(8)] for i in range(700)}
+    vectors = [(i, [rng.uniform(-1, 1) for _ in range(8)]) for i in range(700)]
     for i in range(100, 160):
-        vectors[i] = vectors[100]
-    vectors |= {i: [0.25] * 3 for i in range(700, 705)}
-    rows = [(i, v, "x") for i, v in vectors.items()]
-    rows += [(900, None, "y"), (901, [], "y"), (902, [1.0, None] * 4, "z"), (903, [math.nan] * 8, "z"), (904, [math.inf] + [0.0] * 7, "z"), (None, [0.5] * 8, "n"), (3, vectors[3], "again")]
-    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, score string").repartition(3)
-    whole = whole_components(df)
-    queries = whole.where(F.col("vec_id") % 20 == 0)
-    want = {i: [math.floor(1024 * x) for x in v] for i, v in vectors.items()}
-    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in top_k(queries, whole, 10, query_block=10, row_block=150).collect())
-    assert got == brute(want, [i for i in want if i % 20 == 0], 10)
-    assert top_k(queries.limit(0), whole, 10).count() == 0 and top_k(queries, whole.limit(0), 10).count() == 0
+        vectors[i] = (i, vectors[100][1])
+    vectors += [(i, [0.25] * 3) for i in range(700, 705)]
+    vectors += [(20, [rng.uniform(-1, 1) for _ in range(8)]), (20, vectors[20][1]), (3, vectors[3][1]), (3, vectors[9][1])]  # repeated ids
+    rows = [(i, v, "x") for i, v in vectors]
+    rows += [(900, None, "y"), (901, [], "y"), (902, [1.0, None] * 4, "z"), (903, [math.nan] * 8, "z"), (904, [math.inf] + [0.0] * 7, "z"), (None, [0.5] * 8, "n")]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, key string").repartition(3)
+    want = brute([(i, [math.floor(1024 * x) for x in v]) for i, v in vectors], lambda i: i % 20 == 0, 10)
+    assert run(df, "vec_id % 20 = 0", query_block=10, row_block=150) == want
+    assert run(df.limit(0), "vec_id % 20 = 0") == [] and run(df, "vec_id < 0") == []
+
+
+def test_scores_beyond_64_bits(spark):
+    vectors = [(0, [1e18, 2.0]), (1, [1e18, 3.5]), (2, [-1e18, 1.0]), (3, [-1e200, 1.0]), (4, [1e15, 0.0]), (5, [0.1, -0.1]), (6, [9e13, 0.5]), (7, [9e13, 0.75])]
+    df = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")
+    whole = [(i, [math.floor(1024 * Fraction(x)) for x in v]) for i, v in vectors]
+    assert run(df, "vec_id >= 0") == brute(whole, lambda i: True, 10)
 
 
 def test_block_with_large_numbers_and_ties():
@@ -37,10 +51,9 @@ def test_block_with_large_numbers_and_ties():
     for scale in (1, 3, 1 << 28):  # the last beyond what doubles hold
         rows = rng.integers(-3, 4, (60, 5)) * scale
         ids = np.arange(60) * 7
-        want = brute({int(i): [int(x) for x in v] for i, v in zip(ids, rows, strict=True)}, ids[:9].tolist(), 4)
-        got = nra_block(ids, rows, ids[:9], rows[:9], 4)
+        want = brute([(int(i), [int(x) for x in v]) for i, v in zip(ids, rows, strict=True)], lambda i: i < 63, 4)
         found = {}
-        for q, i, s in got:
+        for q, i, s in nra_block(ids, ids, rows.astype(float), ids[:9], rows[:9].astype(float), 4):
             found.setdefault(q, []).append((q, len(found.get(q, [])) + 1, i, s))
         assert sorted(x for v in found.values() for x in v) == want
 
