@@ -2,8 +2,11 @@
 
 Trusted positives and unlabelled web text train a small network on statistics of whole texts, by
 the non-negative unbiased risk (Kiryo et al., 2017): the part of the unlabelled risk that the
-positives explain is taken out, at the estimated class prior, and never below nothing. Labels
-of the training rows then set the scale of the scores (Platt), so that a score is a probability.
+positives explain is taken out, at the estimated class prior, and never below nothing. The prior
+comes from positives and unlabelled text alone: regressions tell the two apart, and the prior is
+the least ratio of their shares above a score (best bin estimation, Garg et al., 2021). The
+unbiased logistic risk of both then sets the scale of the scores, so that a score is a
+probability. Rows of label 0 are unlabelled text like any other; their labels are never read.
 """
 
 from __future__ import annotations
@@ -14,10 +17,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import written
 
-#: Rows that the model is fitted on, at most about; hashes of the ids choose them.
+#: Rows that the model is fitted on, at most about; hashes of id and text choose them.
 MOST_POSITIVE, MOST_UNLABELLED = 20_000, 40_000
 _SYMBOLS = [np.frombuffer(x, np.uint8) for x in (b"|", b"#*$%&<>", b"!?", b".,;:", b"\"'()[]{}", b"-_/\\=+@^~`")]
 N_FEATURES = 24
@@ -58,14 +62,20 @@ def text_features(text: str | None) -> list[float]:
     ]
 
 
+def _features(texts: pa.Array | pa.ChunkedArray) -> list[list[float]]:
+    return [text_features(t.as_py()) for t in texts]
+
+
 def featured(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """doc_id, h (hash of the text), x (features) of every row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [text_features(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "x"])
+            x = pa.array(_features(batch.column("text")), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), x], names=["doc_id", "h", "x"])
 
-    kind = dict(docs.dtypes)[doc_id]
-    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, f"doc_id {kind}, x array<double>")
+    kind, body = dict(docs.dtypes)[doc_id], F.col(f"`{text}`")
+    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("h"), body.alias("text")).mapInArrow(run, f"doc_id {kind}, h bigint, x array<double>")
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -120,37 +130,76 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     return net
 
 
-def calibrate(net: Network, x: np.ndarray, y: np.ndarray) -> None:
-    """Scale and shift of the output by Newton steps on labelled training rows of both kinds."""
-    if len(set(y.tolist())) < 2:
-        return
-    g = net.raw(net.standard(x))
-    center, scale = g.mean(), g.std() + 1e-9
-    z = np.stack([(g - center) / scale, np.ones(len(g))], 1)
-    w = np.zeros(2)
-    for _ in range(30):
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The share of positives among unlabelled rows. Arguments: scores of rows that the scoring network wasn't fitted on."""
+    both = np.sort(np.concatenate([positive, unlabelled]))
+    share = lambda x: 1 - np.searchsorted(np.sort(x), both) / len(x)  # noqa: E731  at least each score
+    p, u = share(positive), share(unlabelled)
+    error = np.sqrt(np.log(20) / 2) * (1 / np.sqrt(len(positive)) + 1 / np.sqrt(len(unlabelled)))
+    some = p > 0
+    best = np.argmin((u[some] + error) / p[some])
+    return float(np.clip(u[some][best] / p[some][best], 0.05, 0.95))
+
+
+def _linear(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
+    """Weights of a logistic regression by Newton steps; x has a column of ones."""
+    w = np.zeros(x.shape[1])
+    for _ in range(15):
+        s = _sigmoid(x @ w)
+        step = np.linalg.solve((x * (s * (1 - s))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (s - y) + ridge * w)
+        w -= step * min(1, 4 / (np.abs(step).max() + 1e-12))
+    return w
+
+
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The prior by two halves of the rows, each scored by a regression that learned from the other to tell
+    positives from the unlabelled: a plain model, so that few rows do."""
+    if min(len(positive), len(unlabelled)) < 20:
+        return 0.5
+    net = Network(np.concatenate([positive, unlabelled]))
+    p, u = (np.c_[net.standard(x), np.ones(len(x))] for x in (positive, unlabelled))
+    found = []
+    for i in (0, 1):
+        y = np.r_[np.ones(len(p[i::2])), np.zeros(len(u[i::2]))]
+        w = _linear(np.concatenate([p[i::2], u[i::2]]), y, 5.0)
+        found.append(class_prior(p[1 - i :: 2] @ w, u[1 - i :: 2] @ w))
+    return float(np.mean(found))
+
+
+def calibrate(net: Network, positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> None:
+    """Scale and shift of the output by Newton steps on the unbiased logistic risk
+    mean over unlabelled of log(1 + exp(g)) - prior * mean over positives of g, which is convex in both."""
+    gp, gu = net.raw(net.standard(positive)), net.raw(net.standard(unlabelled))
+    center, scale = gu.mean(), gu.std() + 1e-9
+    design = lambda g: np.stack([(g - center) / scale, np.ones(len(g))], 1)
+    z, target, w = design(gu), prior * design(gp).mean(0), np.zeros(2)
+    for _ in range(50):
         s = _sigmoid(z @ w)
-        hess = (z * (s * (1 - s))[:, None]).T @ z + np.eye(2) * 0.5
-        w -= np.linalg.solve(hess, z.T @ (s - y) + 0.5 * w * [1, 0])
+        slope = (z.T @ s) / len(z) - target + 1e-3 * w * [1, 0]
+        step = np.linalg.solve((z * (s * (1 - s))[:, None]).T @ z / len(z) + np.eye(2) * 1e-3, slope)
+        w -= step * min(1, 2 / (np.abs(step).max() + 1e-12))
     net.a, net.b = w[0] / scale, w[1] - w[0] * center / scale
 
 
-def _sample(rows: DataFrame, most: int, salt: int) -> DataFrame:
-    share = min(1.0, most / max(1, rows.count()))
-    return rows.where(F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 20)) < int(share * (1 << 20)))
+def _sample(rows: DataFrame, most: int) -> np.ndarray:
+    """About `most` distinct rows (k, x), whatever ids and copies they have; k, a hash, chooses them."""
+    n = rows.agg(F.approx_count_distinct("k")).first()[0]
+    share = min(1.0, most / max(1, n))
+    found = rows.where(F.pmod(F.xxhash64("k"), F.lit(1 << 20)) < int(share * (1 << 20))).dropDuplicates(["k"]).orderBy("k").select("x").toPandas().x
+    return np.stack(found.to_list()) if len(found) else np.zeros((0, N_FEATURES))
 
 
 def learned(x: DataFrame, labels: DataFrame, held_out: Column) -> Network | None:
-    """The fitted network, or none without trusted positives. x: doc_id, x (features)."""
-    marks = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")).where(~held_out)
-    marked = written(x.join(_sample(marks, 2 * MOST_POSITIVE, 1), "doc_id"), "labelled").select("x", "quality").toPandas()
-    if not (marked.quality == 1).any():
+    """The fitted network, or none without trusted positives. x: doc_id, h, x (features)."""
+    marks = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")).where(~held_out).where("quality = 1")
+    marked = written(x.join(marks, "doc_id", "left").select(F.xxhash64("doc_id", "h").alias("k"), F.col("quality").isNotNull().alias("trusted"), "x"), "marked")
+    positive = _sample(marked.where("trusted"), MOST_POSITIVE)
+    if not len(positive):
         return None
-    given, y = np.stack(marked.x.to_list()), (marked.quality.to_numpy() == 1).astype(float)
-    pool = x.where(F.col("doc_id").isNotNull()).join(marks, "doc_id", "left_anti")
-    unlabelled = _sample(pool, MOST_UNLABELLED, 2).select("x").toPandas().x
-    net = fit(given[y == 1], np.stack(unlabelled.to_list()) if len(unlabelled) else given, float(np.clip(y.mean(), 0.05, 0.95)))
-    calibrate(net, given, y)
+    unlabelled = _sample(marked, MOST_UNLABELLED)  # all text, as the risk wants it, not only what has no label
+    prior = estimate_prior(positive, unlabelled)
+    net = fit(positive, unlabelled, prior)
+    calibrate(net, positive, unlabelled, prior)
     return net
 
 
@@ -160,7 +209,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out: Column, text: st
     `held_out`, over doc_id, marks rows whose labels aren't read. Null texts count as empty and
     are scored. Labels: doc_id, quality; null ones don't count, of repeated ones the least does.
     Without trusted positives the score is 0.5. Null ids are never labelled; repeated rows score
-    alike. Other columns don't matter.
+    alike, and teach once. Other columns don't matter.
     """
     x = written(featured(docs, text, doc_id), "features")
     net = learned(x, labels, held_out)
@@ -176,15 +225,31 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out: Column, text: st
 
 
 def accepted(docs: DataFrame, labels: DataFrame, held_out: Column, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.3) -> DataFrame:
-    """The rows of `docs` that score `threshold` or more, with all their columns; texts aren't shuffled."""
-    net = learned(written(featured(docs, text, doc_id), "features"), labels, held_out)
+    """The rows of `docs` that score `threshold` or more, with all their columns.
+
+    Rows are written once with their features, scored from there; texts aren't shuffled. Null and
+    empty texts are scored like others, null ids and repeated rows too. Without trusted positives
+    all rows stay; an empty table stays empty. Columns may have any names.
+    """
+    extra = "x"
+    while extra.lower() in {c.lower() for c in docs.columns}:
+        extra += "_"
+    schema = T.StructType([*docs.schema.fields, T.StructField(extra, T.ArrayType(T.DoubleType()))])
+    names, at = docs.columns, docs.columns.index(text)
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_features(batch.column(at)), pa.list_(pa.float64()))], names=[*names, extra])
+
+    rows = written(docs.mapInArrow(features, schema), "features")
+    net = learned(rows.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("h"), F.col(extra).alias("x")), labels, held_out)
     if net is None:
-        return docs
+        return rows.drop(extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x = np.array([text_features(t.as_py()) for t in batch.column(text)])
-                yield batch.filter(pa.array(net.score(x) >= threshold))
+                kept = pa.array(net.score(np.array(batch.column(batch.num_columns - 1).to_pylist())) >= threshold)
+                yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=names).filter(kept)
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, docs.schema)

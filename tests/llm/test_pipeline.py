@@ -2,6 +2,7 @@ from collections import Counter
 from random import Random
 
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("public_tokenizers")
 import corpus_pipeline as pipeline
@@ -48,3 +49,19 @@ def test_stages(spark, tmp_path):
     assert max(Counter(r.doc_id for r in kept["mixing"]).values()) == 2
     assert sum(r.length for r in kept["packing"] if r.start == 0) > 0
     assert len(pipeline.run(spark, d).collect()) == len(kept["packing"])
+
+
+def test_stages_on_odd_tables(spark, tmp_path):
+    """Nulls in every column, columns that clash with helpers' names, and no rows at all."""
+    d = str(tmp_path)
+    tables(spark, d)
+    given = spark.read.parquet(f"{d}/documents.parquet")
+    extra = {"_h": F.lit("k"), "row": F.lit(1), "x": F.lit(None).cast("string"), "key": F.lit(2.0), "spans": F.array(F.lit("s"))}
+    odd = given.withColumns(extra).unionByName(given.limit(3).select(*[F.lit(None).cast(t).alias(c) for c, t in given.dtypes]).withColumns(extra))
+    for docs in (odd, odd.limit(0)):
+        empty = docs.isEmpty()
+        for name, stage in pipeline.STAGES:
+            docs = written(stage(spark, docs, d), name)
+            assert docs.isEmpty() == empty, name
+            if name != "packing":
+                assert docs.columns == odd.columns, name

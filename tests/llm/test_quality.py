@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from strataq.llm.common import id_remainder
-from strataq.llm.quality import N_FEATURES, Network, fit, score_quality, text_features
+from strataq.llm.quality import N_FEATURES, Network, accepted, estimate_prior, fit, score_quality, text_features
 
 
 def corpus(n, seed):
@@ -57,3 +57,34 @@ def test_negatives_are_found_without_negative_labels():
     good, bad = rng.normal(0, 1, (2000, 3)), rng.normal(4, 1, (400, 3))
     net = fit(good[:1000], np.concatenate([good[1000:], bad]), 1000 / 1400, steps=600)
     assert (net.raw(net.standard(bad)) < 0).mean() > 0.95 and (net.raw(net.standard(good)) > 0).mean() > 0.95
+
+
+def test_prior_from_positives_and_unlabelled():
+    rng = np.random.default_rng(2)
+    for share in (0.3, 0.85):
+        good, bad = rng.normal(0, 1, (3000, 4)), rng.normal(3, 1, (4000, 4))
+        n = int(4000 * share)
+        got = estimate_prior(good, np.concatenate([rng.normal(0, 1, (n, 4)), bad[: 4000 - n]])[rng.permutation(4000)])
+        assert abs(got - share) < 0.08
+
+
+def test_negative_labels_are_not_read(spark):
+    rows, labels = corpus(400, 5)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    score = lambda x: sorted(tuple(r) for r in score_quality(df, spark.createDataFrame(x, "doc_id bigint, quality int"), F.lit(False)).collect())
+    assert score(labels) == score([x for x in labels if x[1]])
+
+
+def test_accepted_with_any_column_names_and_repeated_ids(spark):
+    rows, labels = corpus(500, 4)
+    truth = dict(labels)
+    rows = [(i, t, s, i % 7) for i, t, s in rows] + [(None, rows[0][1], "n", 1), (None, None, "n", 1)]
+    good = [i for i in range(500) if truth[i]]
+    rows += [(good[0], rows[k][1], "again", 2) for k in good[:200]]  # one labelled id with many texts
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, h string, x int").repartition(3)
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int")
+    got = accepted(df, marks, F.lit(False))
+    assert got.columns == df.columns and accepted(df.limit(0), marks, F.lit(False)).count() == 0
+    kept = {r.doc_id for r in got.where("h = 'x'").collect()}
+    assert np.mean([(i in kept) == bool(truth[i]) for i in range(500)]) > 0.9
+    assert accepted(df, marks.limit(0), F.lit(False)).count() == len(rows)
