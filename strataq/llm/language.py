@@ -157,14 +157,14 @@ def train(segments: np.ndarray, labels: np.ndarray, languages: list[str], steps:
 
 
 def _training_segments(rows: DataFrame) -> DataFrame:
-    """lang, segment: from places of the whole text that a hash of the id chooses. rows: doc_id, text, lang."""
+    """lang, segment: from places of the whole text that its key chooses. rows: key, text, lang."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, segments = [], []
             for key, text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 raw = (text or "").encode()
-                rng = np.random.default_rng(abs(int(key or 0)))
+                rng = np.random.default_rng(abs(key))
                 for _ in range(PARTS if raw else 0):
                     at = int(rng.integers(0, max(1, len(raw) - TRAIN_SEGMENT + 1)))
                     langs.append(lang)
@@ -179,21 +179,21 @@ def identify(docs: DataFrame, held_out: Column, text: str = "text", lang: str =
     """doc_id, held_out, lang_pred, score of every row.
 
     Learned from text and non-null lang of rows that `held_out` (over doc_id) doesn't mark; about
-    `most` rows of each language at most, by a hash. `und` with score 0: null texts, texts without
-    a letter, and all if nothing could be learned. Null ids and repeated rows are rows like
-    others. Other columns don't matter.
+    `most` rows of each language, by a hash of id and text, equal rows once. `und` with score 0: null
+    texts, texts without a letter, and all if nothing could be learned. Null ids are ids like
+    others. Languages are expected to be a short closed list. Other columns don't matter.
     """
     given = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
-    taught = given.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out)
-    counts = {r.lang: r.n for r in taught.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    taught = given.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out).withColumn("key", F.xxhash64("doc_id", "text"))
+    counts = {r.lang: max(1, r.n) for r in taught.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")).collect()}
     languages = sorted(counts)
     net = None
     if languages:
         share = F.lit(0.0)
         for name in languages:
             share = F.when(F.col("lang") == name, min(1.0, most / counts[name])).otherwise(share)
-        chosen = taught.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) < share * (1 << 20))
-        found = _training_segments(chosen.select(F.xxhash64("doc_id").alias("doc_id"), "text", "lang")).toPandas()
+        chosen = taught.where(F.pmod(F.xxhash64("key", F.lit(3)), F.lit(1 << 20)) < share * (1 << 20)).dropDuplicates(["key", "lang"])
+        found = _training_segments(chosen.select("key", "text", "lang")).orderBy("lang", "segment").toPandas()
         kept = [x for x in languages if (found.lang == x).any()]
         if kept:
             segments = np.frombuffer(b"".join(found.segment), np.uint8).reshape(-1, TRAIN_SEGMENT)

@@ -53,3 +53,13 @@ def test_held_out_accuracy(spark):
     assert all(r.lang_pred == "und" for r in got if r.doc_id in (None, 900, 901)) and all(0 <= r.score <= 1 for r in got)
     assert {r.lang_pred for r in identify(df.withColumn("lang", F.lit(None)), mark).collect()} == {"und"}
     assert identify(df.limit(0), mark).count() == 0
+
+
+def test_ids_that_are_null_or_repeated_teach_all_languages(spark):
+    rng = Random(4)
+    letters = {"xx": "abcdefg", "yy": "nopqrst", "zz": "àéîöüß "}
+    text = lambda k: " ".join("".join(rng.choices(letters[k], k=rng.randint(2, 7))) for _ in range(25))
+    rows = [(None, text("xx"), "xx") for _ in range(60)] + [(5, text("yy"), "yy") for _ in range(60)] + [(i, "üß éà öî " * 9, "zz") for i in [7] * 3000]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    got = identify(df, F.lit(False), most=40).collect()
+    assert len(got) == len(rows) and {r.lang_pred for r in got} == {"xx", "yy", "zz"}
