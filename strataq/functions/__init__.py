@@ -1,5 +1,5 @@
 """Text expressions, all built in."""
 
-from .text import character_count, content_id, in_sample, normalised, only_letters, window_hashes, words
+from .text import content_id, in_sample, normalised, only_letters, window_hashes, words
 
-__all__ = ["character_count", "content_id", "in_sample", "normalised", "only_letters", "window_hashes", "words"]
+__all__ = ["content_id", "in_sample", "normalised", "only_letters", "window_hashes", "words"]

@@ -25,10 +25,6 @@ def in_sample(key: Column, share_of_65536: int) -> Column:
     return F.substring(F.md5(key.cast("string")), 1, 4) < F.lit(f"{share_of_65536:04x}")
 
 
-def character_count(text: Column) -> Column:
-    return F.length(text).cast("bigint")
-
-
 def words(text: Column) -> Column:
     return F.filter(F.split(text, " "), lambda w: w != "")
 

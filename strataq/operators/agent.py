@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -37,35 +38,53 @@ def pending(wanted: DataFrame, answered: DataFrame) -> DataFrame:
     return wanted.join(answered.select("request_id"), "request_id", "left_anti")
 
 
-def call(todo: DataFrame, client: Client = stub_client) -> DataFrame:
-    """request_id, status, body, error, attempt. A failing call is a row with status `failed`."""
-    schema = T.StructType([T.StructField("status", T.StringType()), T.StructField("body", T.StringType()), T.StructField("error", T.StringType())])
+def call(todo: DataFrame, client: Client = stub_client, tries: int = 1, wait: float = 0.5) -> DataFrame:
+    """request_id, status, body, error, attempt. A failing call is tried again after a wait that doubles,
+    then it is a row with status `failed`. `attempt` counts on from that of `todo`, if it has one."""
+    schema = T.StructType([T.StructField("status", T.StringType()), T.StructField("body", T.StringType()), T.StructField("error", T.StringType()), T.StructField("tries", T.IntegerType())])
+
+    def one(stage: str, payload: str) -> tuple:
+        for i in range(1, tries + 1):
+            try:
+                return "done", client(stage, payload), None, i
+            except Exception as e:
+                error = str(e)[:200]
+                if i < tries:
+                    time.sleep(wait * 2 ** (i - 1))
+        return "failed", None, error, tries
 
     @F.pandas_udf(schema)
     def ask(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for stages, payloads in parts:
-            out = []
-            for stage, payload in zip(stages, payloads, strict=True):
-                try:
-                    out.append(("done", client(stage, payload), None))
-                except Exception as e:
-                    out.append(("failed", None, str(e)[:200]))
-            yield pd.DataFrame(out, columns=["status", "body", "error"])
+            out = [one(stage, payload) for stage, payload in zip(stages, payloads, strict=True)]
+            yield pd.DataFrame(out, columns=["status", "body", "error", "tries"])
+
+    before = F.col("attempt") if "attempt" in todo.columns else F.lit(0)
+    asked = todo.select("request_id", before.alias("before"), ask.asNondeterministic()("stage", "payload").alias("r"))
+    return asked.select("request_id", "r.status", "r.body", "r.error", (F.col("before") + F.col("r.tries")).cast("int").alias("attempt"))
+
+
+def latest(responses: DataFrame) -> DataFrame:
+    """One row a request: that of its last attempt."""
+    best = responses.groupBy("request_id").agg(F.max(F.struct("attempt", "status", "body", "error")).alias("r"))
+    return best.select("request_id", "r.status", "r.body", "r.error", "r.attempt")
 
-    asked = todo.select("request_id", ask.asNondeterministic()("stage", "payload").alias("r"))
-    return asked.select("request_id", "r.status", "r.body", "r.error", F.lit(1).alias("attempt"))
 
+def run_stage(spark: SparkSession, wanted: DataFrame, path: str, client: Client = stub_client, tries: int = 1, most_attempts: int = 10) -> DataFrame:
+    """The last response of each request at `path`, after asking for those without one that is done.
 
-def run_stage(spark: SparkSession, wanted: DataFrame, path: str, client: Client = stub_client) -> DataFrame:
-    """All responses at `path`, after asking for those not there yet; a rerun asks for nothing twice."""
+    A rerun asks for nothing twice but what failed, and for that until `most_attempts`.
+    """
     try:
-        todo = pending(wanted, spark.read.parquet(path).where("status = 'done'"))
+        last = latest(spark.read.parquet(path))
+        counts = last.select("request_id", "attempt")
+        todo = pending(wanted, last.where((F.col("status") == "done") | (F.col("attempt") >= most_attempts))).join(counts, "request_id", "left").fillna(0, ["attempt"])
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
         todo = wanted
-    call(todo, client).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    call(todo, client, tries).write.mode("append").parquet(path)
+    return latest(spark.read.parquet(path))
 
 
 def parsed(responses: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,9 +14,19 @@ def text_features(docs: DataFrame) -> DataFrame:
 
 
 def relative_bands(turns: DataFrame, bands: int = 5) -> DataFrame:
-    """Band of each turn by length within its role, so no window spans the whole table."""
-    w = Window.partitionBy("role").orderBy(F.length("text"), "conv_id", "turn")
-    return turns.select("conv_id", "turn", F.ntile(bands).over(w).cast("bigint").alias("band"), F.round(F.percent_rank().over(w), 6).alias("rank"))
+    """Band (ntile) and percent rank of each turn by length within its role; windows span one length of a role, or its table of lengths."""
+    given = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce(F.length("text"), F.lit(-1)).alias("size"))
+    # a row's place is that of its length, by prefix sums over counts, and its place among equal lengths
+    counts = given.groupBy("role", "size").agg(F.count(F.lit(1)).alias("n"))
+    role = Window.partitionBy("role")
+    starts = counts.select("role", "size", (F.sum("n").over(role.orderBy("size")) - F.col("n")).alias("start"), F.sum("n").over(role).alias("all"))
+    at = F.col("start") + F.row_number().over(Window.partitionBy("role", "size").orderBy("conv_id", "turn")) - 1
+    placed = given.join(starts, ["role", "size"]).withColumn("at", at)
+    least, more = F.floor(F.col("all") / bands), F.col("all") % bands  # the first bands have one row more
+    wide = more * (least + 1)
+    band = F.when(F.col("at") < wide, F.floor(F.col("at") / (least + 1))).otherwise(more + F.floor((F.col("at") - wide) / F.greatest(least, F.lit(1))))
+    share = F.when(F.col("all") > 1, F.col("at") / (F.col("all") - 1)).otherwise(0.0)
+    return placed.select("conv_id", "turn", (band + 1).cast("bigint").alias("band"), F.round(share, 6).alias("rank"))
 
 
 def length_bands(pairs: DataFrame, short: int = 500, medium: int = 1000) -> DataFrame:
@@ -36,3 +48,35 @@ def centre_likeness(embeddings: DataFrame) -> DataFrame:
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
     v, c = F.col("embedding"), F.col("c")
     return embeddings.join(centre, "label").select("vec_id", F.round(dot(v, c) / F.sqrt(dot(v, v) * dot(c, c)), 5).alias("likeness"))
+
+
+def neighbours(queries: DataFrame, rows: DataFrame, k: int = 5, block: int = 4096) -> DataFrame:
+    """query_id, rank, vec_id, likeness: the k rows of largest cosine (5 decimals) to each query, ties to smaller ids.
+
+    Queries and rows (vec_id, embedding) are hashed to blocks of bounded size; each block of queries
+    meets each of rows in a task of its own, and k rows a block meet in the ranking. A vector is
+    compared with those of its length, but not with rows of its own id; null and zero vectors take no part.
+    """
+    n = lambda df: max(1, -(-df.count() // block))
+    qb, rb = n(queries), n(rows)
+    usable = lambda df: df.where("vec_id is not null and size(embedding) > 0 and exists(embedding, x -> x <> 0) and forall(embedding, x -> x is not null)")
+    home = lambda count: F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    left = usable(queries).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"), F.size("embedding").alias("dim"), home(qb).alias("qb"), every(rb).alias("rb"))
+    right = usable(rows).select(F.col("vec_id").alias("row_id"), F.col("embedding").alias("v"), F.size("embedding").alias("dim"), home(rb).alias("rb"), every(qb).alias("qb"))
+
+    def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(a) and len(b):
+            x, y = (np.stack(list(c)).astype(np.float64) for c in (a["q"], b["v"]))
+            ids = b["row_id"].to_numpy()
+            for i, query in enumerate(a["query_id"].tolist()):
+                likeness = np.round((y @ x[i]) / np.sqrt((x[i] @ x[i]) * (y * y).sum(axis=1)), 5)
+                order = np.lexsort((ids, -likeness))
+                out += [(query, int(ids[j]), float(likeness[j])) for j in order[ids[order] != query][:k]]
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "likeness"]).astype({"query_id": "int64", "vec_id": "int64", "likeness": "float64"})
+
+    keys = ["qb", "rb", "dim"]
+    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(best, "query_id bigint, vec_id bigint, likeness double")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("likeness").desc(), "vec_id"))
+    return near.select("query_id", rank.cast("bigint").alias("rank"), "vec_id", "likeness").where(F.col("rank") <= k)

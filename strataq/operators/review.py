@@ -37,16 +37,22 @@ def exact_duplicates_removed(docs: DataFrame) -> DataFrame:
 def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 5) -> DataFrame:
     """doc_id, item_id: documents that hold a whole benchmark item.
 
-    An item's inner words are whole words of any text that holds it, so one window of them (the
-    least hash) is looked up among the document's windows and only hits are searched. Items of
-    under n + 2 words have no such window and are searched in every document.
+    An item's inner words are whole words of any text that holds it, so one window of up to n of
+    them (the least hash) is looked up among the document's windows of that size; only ids are
+    joined, and only the texts of hits are fetched and searched. Items of one or two words have no
+    inner word and are searched in every document.
     """
     tokens = F.split(F.col("text"), r"[ \t\n\r]+")
-    items = benchmark.select("item_id", F.col("text").alias("item"), tokens.alias("t")).withColumn("inner", F.when(F.size("t") >= n + 2, F.array_min(window_hashes(F.slice("t", 2, F.size("t") - 2), n))))
-    windows = docs.select("doc_id", "text", F.explode(window_hashes(tokens, n)).alias("inner"))
-    long_items = windows.join(items.where("inner is not null").select("item_id", "item", "inner"), "inner").where(F.contains("text", "item")).select("doc_id", "item_id")
-    short_items = docs.select("doc_id", "text").join(items.where("inner is null and item <> ''").select("item_id", "item"), F.contains("text", "item")).select("doc_id", "item_id")
-    return long_items.unionByName(short_items).distinct()
+    items = benchmark.select("item_id", F.col("text").alias("item"), tokens.alias("t")).withColumn("m", F.least(F.size("t") - 2, F.lit(n)))
+    hits = docs.select("doc_id", F.lit(None).cast("bigint").alias("item_id")).limit(0)
+    sizes = sorted(r.m for r in items.where("m > 0").select("m").distinct().collect())  # n numbers at most
+    for m in sizes:
+        inner = items.where(F.col("m") == m).select("item_id", F.array_min(window_hashes(F.slice("t", F.lit(2), F.size("t") - 2), m)).alias("inner"))
+        hits = hits.unionByName(docs.select("doc_id", F.explode(window_hashes(tokens, m)).alias("inner")).join(inner, "inner").select("doc_id", "item_id"))
+    found = hits.distinct().join(docs.select("doc_id", "text"), "doc_id").join(items.select("item_id", "item"), "item_id").where(F.contains("text", "item")).select("doc_id", "item_id")
+    tiny = items.where("m <= 0 and item <> ''").select("item_id", "item")
+    anywhere = docs.select("doc_id", "text").join(tiny, F.contains("text", "item")).select("doc_id", "item_id")
+    return found.unionByName(anywhere).distinct()
 
 
 def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -54,8 +60,9 @@ def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> Da
 
     Documents of one window set are a class, named by its least id. Classes are linked by a
     prefix filter: windows are ordered by how few classes hold them, and two sets that are alike
-    share one of their first size - ceil(percent * size / 100) + 1 windows. n_links counts the
-    other classes alike. Documents under n words are classes of their own text, without links.
+    share one of their first size - ceil(percent * size / 100) + 1 windows; where they first do, both
+    must still have room for the overlap that they need, and they are of neighbouring size bins. n_links
+    counts the other classes alike. Documents under n words are classes of their own text, without links.
     """
     tokens = words(only_letters(F.col("text")))
     sets = docs.select("doc_id", F.array_sort(window_hashes(tokens, n)).alias("items"), F.md5("text").alias("_text"))
@@ -64,10 +71,15 @@ def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> Da
     held = classes.where("size > 0")
     each = held.select("class_id", "size", F.explode("items").alias("item"))
     often = each.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    rank = F.row_number().over(Window.partitionBy("class_id").orderBy("n", "item"))
-    prefix = each.join(often, "item").withColumn("rank", rank).where((F.col("n") > 1) & (F.col("rank") <= F.col("size") - F.ceil(percent * F.col("size") / 100) + 1))
-    a, b = prefix.select("item", F.col("class_id").alias("a"), F.col("size").alias("na")), prefix.select("item", F.col("class_id").alias("b"), F.col("size").alias("nb"))
-    likely = a.join(b, "item").where("a < b and 100 * least(na, nb) >= {0} * greatest(na, nb)".format(percent)).select("a", "b").distinct()
+    doc = Window.partitionBy("class_id")  # windows that only one class holds come first, and count without being sorted
+    rank = F.col("size") - F.count(F.lit(1)).over(doc) + F.row_number().over(doc.orderBy("n", "item"))
+    ranked = each.join(often.where("n > 1"), "item").withColumn("rest", F.col("size") - rank + 1).where(F.col("rest") >= F.ceil(percent * F.col("size") / 100))
+    bin_ = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent)))
+    small = ranked.where((100 + percent) * F.col("rest") >= 2 * percent * F.col("size")).select("item", bin_.alias("bin"), F.col("class_id").alias("u"), F.col("size").alias("nu"), F.col("rest").alias("ru"))
+    large = ranked.select("item", F.explode(F.array(bin_, bin_ - 1, bin_ - 2)).alias("bin"), F.col("class_id").alias("v"), F.col("size").alias("nv"), F.col("rest").alias("rv"))
+    fits = (100 + percent) * F.least("ru", "rv") >= percent * (F.col("nu") + F.col("nv"))
+    order = (F.col("nu") < F.col("nv")) | ((F.col("nu") == F.col("nv")) & (F.col("u") < F.col("v")))
+    likely = small.join(large, ["item", "bin"]).where(fits & order).select(F.col("u").alias("a"), F.col("v").alias("b")).distinct()
     side = lambda x: held.select(F.col("class_id").alias(x), F.col("items").alias(f"items_{x}"))
     common = F.size(F.array_intersect("items_a", "items_b"))
     union = F.size("items_a") + F.size("items_b") - common

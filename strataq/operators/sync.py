@@ -1,4 +1,4 @@
-"""Synchronisation with a table service: changes, request batches, applying changes to a snapshot."""
+"""Synchronisation with a table service: changes, request batches, sending, pulling, applying changes to a snapshot."""
 
 from __future__ import annotations
 
@@ -6,12 +6,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _compared(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
+    """key, op (insert, delete, update, same), content_hash. Both: key, content_hash; a null hash is a value like others."""
+    side = lambda df, name: df.select(F.col(key), F.struct("content_hash").alias(name))
+    both = side(new, "new").join(side(old, "old"), key, "full_outer")
+    op = F.when(F.col("old").isNull(), "insert").when(F.col("new").isNull(), "delete").when(F.col("new.content_hash").eqNullSafe(F.col("old.content_hash")), "same").otherwise("update")
+    return both.select(key, op.alias("op"), F.coalesce("new", "old")["content_hash"].alias("content_hash"))
+
+
 def changes(current: DataFrame, previous: DataFrame, key: str = "doc_id", content: str = "text") -> DataFrame:
-    """key, op, content_hash: insert, update or delete; rows that are the same are left out."""
-    h = lambda df, name: df.select(F.col(key), F.md5(F.coalesce(content, F.lit(""))).alias(name))
-    both = h(current, "new").join(h(previous, "old"), key, "full_outer")
-    op = F.when(F.col("old").isNull(), "insert").when(F.col("new").isNull(), "delete").when(F.col("old") != F.col("new"), "update")
-    return both.select(key, op.alias("op"), F.coalesce("new", "old").alias("content_hash")).where("op is not null")
+    """key, op, content_hash: insert, update or delete; rows that are the same are left out. A null content isn't an empty one."""
+    hashed = lambda df: df.select(key, F.md5(content).alias("content_hash"))
+    return _compared(hashed(current), hashed(previous), key).where("op <> 'same'")
 
 
 def batches(changed: DataFrame, size: int = 100, lanes: int = 16, key: str = "doc_id") -> DataFrame:
@@ -21,6 +27,17 @@ def batches(changed: DataFrame, size: int = 100, lanes: int = 16, key: str = "do
     return changed.withColumn("lane", lane).withColumn("batch_no", F.floor((at - 1) / size).cast("bigint"))
 
 
+def send(batched: DataFrame, path: str, mode: str = "append") -> None:
+    """Changes with `lane` and `batch_no` to the service: a lane's batches are requests one after the other, lanes go at once."""
+    ordered = batched.repartition("lane").sortWithinPartitions("lane", "batch_no", "doc_id")
+    ordered.write.format("table_service").option("path", path).option("batch_by", "lane,batch_no").mode(mode).save()
+
+
+def pulled(remote: DataFrame, local: DataFrame, key: str = "doc_id") -> DataFrame:
+    """key, content_hash, op: the local snapshot after the remote rows (key, content_hash) were taken over; rows that only local had are gone."""
+    return _compared(remote, local, key).where("op <> 'delete'")
+
+
 def applied(previous: DataFrame, current: DataFrame, changed: DataFrame, key: str = "doc_id") -> DataFrame:
     """The next snapshot: `previous` without deleted and updated rows, and the new rows of `current`."""
     kept = previous.join(changed.where("op <> 'insert'").select(key), key, "left_anti")

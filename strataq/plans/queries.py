@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 import uuid
@@ -20,13 +21,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder where all executors write; of this machine only where the session names none."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or shared_folder.__dict__.setdefault("own", tempfile.mkdtemp(prefix="strataq-"))
-    return f"{base.rstrip('/')}/strataq/{uuid.uuid4().hex}"
-
-
-def _local(path: str) -> str:
-    return path.removeprefix("file://")
+    """A new folder where all executors write, gone when the driver ends; of this machine only where the session names none."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        if not hasattr(shared_folder, "own"):
+            shared_folder.own = tempfile.mkdtemp(prefix="strataq-")
+            atexit.register(shutil.rmtree, shared_folder.own, True)
+        base = shared_folder.own
+    path = f"{base.rstrip('/')}/strataq/{uuid.uuid4().hex}"
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(jvm_path)
+    fs.deleteOnExit(jvm_path)
+    return path
 
 
 def table_sizes(spark: SparkSession, d: str) -> DataFrame:
@@ -53,7 +60,7 @@ def _asked(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _answers(spark: SparkSession, d: str) -> DataFrame:
-    return agent.run_stage(spark, _asked(spark, d), shared_folder(spark))
+    return agent.run_stage(spark, _asked(spark, d), f"{shared_folder(spark)}/responses")
 
 
 def scored_difficulty(spark: SparkSession, d: str) -> DataFrame:
@@ -75,27 +82,37 @@ def parsed_responses(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sent_changes(spark: SparkSession, d: str) -> DataFrame:
-    """Change rows written through the service and read back from it."""
+    """Change rows sent through the service in their batches and read back from it."""
     current, previous = _versions(spark, d)
     spark.dataSource.register(TableService)
-    path = _local(shared_folder(spark))
-    sync.changes(current, previous).write.format("table_service").option("path", path).mode("append").save()
+    path = shared_folder(spark)
+    sync.send(sync.batches(sync.changes(current, previous)), path)
     return spark.read.format("table_service").option("path", path).load()
 
 
+def pulled_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """The service holds one version, local is the other: what local has after a pull, and how each row came."""
+    local, remote = _versions(spark, d)
+    hashed = lambda df: df.select("doc_id", F.md5("text").alias("content_hash"))
+    spark.dataSource.register(TableService)
+    path = shared_folder(spark)
+    sync.send(sync.batches(hashed(remote).withColumn("op", F.lit("insert"))), path)
+    there = spark.read.format("table_service").option("path", path).load()
+    return sync.pulled(there.select("doc_id", "content_hash"), hashed(local))
+
+
 def incremental_events(spark: SparkSession, d: str) -> DataFrame:
     events = load(spark, d, "events")
     out, checkpoint = shared_folder(spark), shared_folder(spark)
-    source = f"{d}/events.parquet*" if "://" not in d else f"{d}/events.parquet"
+    source = f"{d}/events.parque[t]" if "://" not in d else f"{d}/events.parquet"  # as a pattern it may be one file too
     streaming.incremental(spark, source, events.schema, out, checkpoint)
-    shutil.rmtree(_local(checkpoint), ignore_errors=True)
     return spark.read.schema(events.schema).parquet(f"{out}/*").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def next_snapshot(spark: SparkSession, d: str) -> DataFrame:
     """The new version as a written directory, which readers see whole or not at all."""
     current, previous = _versions(spark, d)
-    path = shared_folder(spark)
+    path = f"{shared_folder(spark)}/snapshot"
     sync.applied(previous, current, sync.changes(current, previous)).write.parquet(path)
     return spark.read.parquet(path).select("doc_id", F.md5("text").alias("content_hash"))
 
@@ -133,6 +150,7 @@ QUERIES: dict[str, Query] = {
     "v4_quantiles": _docs(difficulty.quantiles),
     "v5_scored_difficulty": scored_difficulty,
     "v6_centre_likeness": _on(difficulty.centre_likeness, "embeddings"),
+    "v6_neighbours": _on(lambda x: difficulty.neighbours(x.where("vec_id % 50 = 0"), x), "embeddings"),
     "g1_seeds": _docs(agent.seeds),
     "g2_requests": lambda spark, d: _asked(spark, d).select("request_id", "stage", "payload"),
     "g3_pending": pending_requests,
@@ -147,6 +165,7 @@ QUERIES: dict[str, Query] = {
     "y3_sent_changes": sent_changes,
     "y4_incremental": incremental_events,
     "y5_next_snapshot": next_snapshot,
+    "y6_pulled": pulled_snapshot,
     "e1_event_windows": _on(streaming.event_windows, "events"),
     "e1_sessions": _on(streaming.sessions, "events"),
 }
@@ -202,6 +221,10 @@ ORACLES: dict[str, str] = {
     "v6_centre_likeness": """WITH x AS (SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding) AS x FROM embeddings), m AS (SELECT label, i, avg(x::DOUBLE) AS m FROM x GROUP BY label, i),
         c AS (SELECT label, list(m ORDER BY i) AS c FROM m GROUP BY label)
         SELECT vec_id, round(list_dot_product(embedding::DOUBLE[], c) / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) * list_dot_product(c, c)), 5) AS likeness FROM embeddings JOIN c USING (label)""",
+    "v6_neighbours": """WITH s AS (SELECT q.vec_id AS query_id, r.vec_id, round(list_dot_product(q.embedding::DOUBLE[], r.embedding::DOUBLE[])
+          / sqrt(list_dot_product(q.embedding::DOUBLE[], q.embedding::DOUBLE[]) * list_dot_product(r.embedding::DOUBLE[], r.embedding::DOUBLE[])), 5) AS likeness
+        FROM embeddings q JOIN embeddings r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0)
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY likeness DESC, vec_id) AS rank, vec_id, likeness FROM s QUALIFY rank <= 5""",
     "g1_seeds": "SELECT doc_id, source, n_chars, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS rank FROM documents QUALIFY rank <= 3",
     "g2_requests": f"WITH {_REQ} SELECT * FROM req",
     "g3_pending": f"WITH {_REQ} SELECT request_id FROM req WHERE NOT substr(md5(request_id), 1, 4) < '8000'",
@@ -216,6 +239,8 @@ ORACLES: dict[str, str] = {
     "y3_sent_changes": f"WITH {_VERSIONS} SELECT * FROM ch",
     "y4_incremental": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
     "y5_next_snapshot": f"WITH {_VERSIONS} SELECT doc_id, md5(text) AS content_hash FROM cur",
+    "y6_pulled": f"""WITH {_VERSIONS} SELECT p.doc_id, md5(p.text) AS content_hash, CASE WHEN c.doc_id IS NULL THEN 'insert' WHEN md5(c.text) = md5(p.text) THEN 'same' ELSE 'update' END AS op
+        FROM prev p LEFT JOIN cur c ON c.doc_id = p.doc_id""",
     "e1_event_windows": "SELECT time_bucket(INTERVAL 1 day, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
     "e1_sessions": """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 minutes THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
         s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM g) SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, k""",

@@ -1,62 +1,112 @@
 """A table service as a Python data source, with a folder standing in for the remote side.
 
-A batch is one file named by its partition and content, moved into place when complete, so
-that writing a batch again changes nothing. `commit` lists the batches that count, those of
-writes before too unless it overwrites; `abort` removes what the failed write left.
+Rows are sent in requests of bounded size, one file each, written under another name and moved into
+place when complete. A file is named by its batch (the columns of option `batch_by`, else the task)
+and content, so that sending a batch again changes nothing. Each write that succeeds adds one commit
+file with its batches; what counts are the batches of all commits since the last one that overwrites.
+`abort` removes what a failed write left, unless a commit names it. The folder may be any path that
+pyarrow's file systems know (local, `file:`, `hdfs:`, `s3:`).
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-import os
-from dataclasses import dataclass
+import time
+import uuid
+from dataclasses import dataclass, field
 
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
+MOST_ROWS, TRIES, WAIT = 1000, 3, 0.2  # of a request; seconds doubled after each try
+
 
 @dataclass
 class Sent(WriterCommitMessage):
-    name: str
-    rows: int
+    names: list[str] = field(default_factory=list)
+    rows: int = 0
 
 
-def _committed(path: str) -> list[str]:
-    with open(os.path.join(path, "committed.json")) as f:
-        return json.load(f)
+class Folder:
+    def __init__(self, path: str):
+        self.fs, self.path = fs.FileSystem.from_uri(path) if ":" in path else (fs.LocalFileSystem(), path)
 
+    def names(self, sub: str) -> list[str]:
+        found = self.fs.get_file_info(fs.FileSelector(f"{self.path}/{sub}", allow_not_found=True))
+        return sorted(x.base_name for x in found if x.is_file and not x.base_name.startswith("."))
 
-class TableWriter(DataSourceWriter):
-    def __init__(self, path: str, columns: list[str], overwrite: bool = False):
-        self.path, self.columns, self.overwrite = path, columns, overwrite
+    def read(self, name: str) -> bytes:
+        with self.fs.open_input_stream(f"{self.path}/{name}") as f:
+            return f.read()
+
+    def write(self, sub: str, name: str, body: bytes) -> None:
+        hidden = f"{self.path}/{sub}/.{name}.{uuid.uuid4().hex}"
+        self.fs.create_dir(f"{self.path}/{sub}", recursive=True)
+        with self.fs.open_output_stream(hidden) as f:
+            f.write(body)
+        self.fs.move(hidden, f"{self.path}/{sub}/{name}")
+
+    def remove(self, name: str) -> None:
+        self.fs.delete_file(f"{self.path}/{name}")
 
-    def _before(self) -> list[str]:
-        return _committed(self.path) if os.path.exists(os.path.join(self.path, "committed.json")) else []
+    def committed(self) -> list[str]:
+        """Names of the batches that count."""
+        found: dict[str, None] = {}
+        for name in self.names("commits"):
+            entry = json.loads(self.read(f"commits/{name}"))
+            if entry["overwrite"]:
+                found = {}
+            found |= dict.fromkeys(entry["batches"])
+        return list(found)
+
+
+class TableWriter(DataSourceWriter):
+    def __init__(self, path: str, columns: list[str], overwrite: bool = False, batch_by: tuple[str, ...] = (), most_rows: int = MOST_ROWS):
+        self.path, self.overwrite, self.batch_by, self.most_rows = path, overwrite, batch_by, most_rows
+        self.columns = [c for c in columns if c not in batch_by]
+
+    def _send(self, folder: Folder, batch: tuple, number: int, lines: list[str]) -> str:
+        body = "\n".join(lines).encode()
+        name = "-".join(["batch", *map(str, batch), str(number), hashlib.md5(body).hexdigest()]) + ".jsonl"
+        for i in range(TRIES):
+            try:
+                folder.write("batches", name, body)
+                break
+            except OSError:
+                if i + 1 == TRIES:
+                    raise
+                time.sleep(WAIT * 2**i)
+        return name
 
     def write(self, rows):
-        lines = [json.dumps({c: row[c] for c in self.columns}, sort_keys=True, default=str) for row in rows]
-        body = "\n".join(lines)
-        name = f"batch-{hashlib.md5(body.encode()).hexdigest()}.jsonl"
-        os.makedirs(self.path, exist_ok=True)
+        folder, context, sent = Folder(self.path), TaskContext.get(), Sent()
+        task = (context.partitionId() if context else 0,)
+        batch, number, lines = None, 0, []
+        for row in rows:
+            now = tuple(row[c] for c in self.batch_by) or task
+            if lines and (now != batch or len(lines) >= self.most_rows):
+                sent.names.append(self._send(folder, batch, number, lines))
+                number, lines = number + 1 if now == batch else 0, []
+            batch = now
+            lines.append(json.dumps({c: row[c] for c in self.columns}, sort_keys=True, default=str))
+            sent.rows += 1
         if lines:
-            part = os.path.join(self.path, f".{name}.{os.getpid()}")
-            with open(part, "w") as f:
-                f.write(body)
-            os.replace(part, os.path.join(self.path, name))
-        return Sent(name if lines else "", len(lines))
+            sent.names.append(self._send(folder, batch, number, lines))
+        return sent
 
     def commit(self, messages):
-        before = [] if self.overwrite else self._before()
-        new = [m.name for m in messages if m and m.name and m.name not in before]
-        with open(os.path.join(self.path, ".committed.new"), "w") as f:
-            json.dump(sorted(before + new), f)
-        os.replace(os.path.join(self.path, ".committed.new"), os.path.join(self.path, "committed.json"))
+        names = sorted({name for m in messages if m for name in m.names})
+        entry = json.dumps({"overwrite": self.overwrite, "batches": names}).encode()
+        Folder(self.path).write("commits", f"{time.time_ns():020d}-{uuid.uuid4().hex}.json", entry)
 
     def abort(self, messages):
-        before = self._before()  # a batch sent again is still one of an earlier write
-        for m in messages:
-            if m and m.name and m.name not in before and os.path.exists(os.path.join(self.path, m.name)):
-                os.remove(os.path.join(self.path, m.name))
+        folder = Folder(self.path)
+        kept, there = set(folder.committed()), set(folder.names("batches"))
+        for name in {name for m in messages if m for name in m.names}:
+            if name in there and name not in kept:
+                folder.remove(f"batches/{name}")
 
 
 class TableReader(DataSourceReader):
@@ -64,17 +114,16 @@ class TableReader(DataSourceReader):
         self.path, self.columns = path, columns
 
     def partitions(self):
-        return [InputPartition(name) for name in _committed(self.path)]
+        return [InputPartition(name) for name in Folder(self.path).committed()]
 
     def read(self, partition):
-        with open(os.path.join(self.path, partition.value)) as f:
-            for line in f:
-                row = json.loads(line)
-                yield tuple(row.get(c) for c in self.columns)
+        for line in Folder(self.path).read(f"batches/{partition.value}").decode().split("\n"):
+            row = json.loads(line)
+            yield tuple(row.get(c) for c in self.columns)
 
 
 class TableService(DataSource):
-    """spark.read / df.write .format("table_service").option("path", folder)."""
+    """spark.read / df.write .format("table_service").option("path", folder); writes also take `batch_by` (columns) and `most_rows`."""
 
     @classmethod
     def name(cls) -> str:
@@ -84,7 +133,8 @@ class TableService(DataSource):
         return "doc_id bigint, op string, content_hash string"
 
     def writer(self, schema, overwrite):
-        return TableWriter(self.options["path"], schema.names, overwrite)
+        by = tuple(c for c in self.options.get("batch_by", "").split(",") if c)
+        return TableWriter(self.options["path"], schema.names, overwrite, by, int(self.options.get("most_rows", MOST_ROWS)))
 
     def reader(self, schema):
         return TableReader(self.options["path"], schema.names)

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from strataq.functions import normalised
-from strataq.operators import agent, augment, review, sync
+from strataq.operators import agent, augment, difficulty, review, sync
 from strataq.sources.service import TableReader, TableService, TableWriter
 from strataq.streaming import event_windows, incremental
 
@@ -45,8 +45,8 @@ def test_near_duplicate_classes_as_brute_force(spark):
 
 
 def test_contamination_of_any_length(spark):
-    items = ["alpha beta gamma delta epsilon zeta eta theta", "short one", "pre fix 1 2 3 4 5 post"]
-    docs = ["x " + items[0] + " y", "glued" + items[0] + "end", "a short one b", items[2][2:], "é " + items[2] + "ed", ""]
+    items = ["alpha beta gamma delta epsilon zeta eta theta", "short one", "pre fix 1 2 3 4 5 post", "three little words", "two inner words here", "x"]
+    docs = ["x " + items[0] + " y", "glued" + items[0] + "end", "a short one b", items[2][2:], "é " + items[2] + "ed", "", "athree little wordsy two inner words herex", "three little", "two inner words"]
     d = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
     b = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
     got = sorted(tuple(r) for r in review.contaminated(d, b).collect())
@@ -85,6 +85,12 @@ def test_a_call_for_each_request_once(spark, tmp_path):
     again = agent.run_stage(spark, wanted, str(tmp_path / "out"), client)
     assert calls()["p3"] == 2 and sum(calls().values()) == 11
     assert agent.parsed(again).where("ok").count() == 9
+    rows = {r.request_id: r for r in again.collect()}  # one row a request, attempts counted
+    assert len(rows) == again.count() == 10 and sorted(r.attempt for r in rows.values()) == [1] * 9 + [2]
+    third = agent.run_stage(spark, wanted, str(tmp_path / "out"), client, tries=2, most_attempts=3)
+    assert calls()["p3"] == 4 and third.where("status = 'failed'").first().attempt == 4
+    agent.run_stage(spark, wanted, str(tmp_path / "out"), client, most_attempts=3)
+    assert calls()["p3"] == 4
 
 
 def test_families_stay_together(spark):
@@ -99,7 +105,7 @@ def test_service_batches(tmp_path):
     path = str(tmp_path / "remote")
     writer = TableWriter(path, ["doc_id", "op"])
     first = writer.write(iter([{"doc_id": 1, "op": "insert"}, {"doc_id": 2, "op": "delete"}]))
-    assert writer.write(iter([{"doc_id": 1, "op": "insert"}, {"doc_id": 2, "op": "delete"}])).name == first.name
+    assert writer.write(iter([{"doc_id": 1, "op": "insert"}, {"doc_id": 2, "op": "delete"}])).names == first.names
     lost = writer.write(iter([{"doc_id": 3, "op": "insert"}]))
     writer.abort([lost, None])
     writer.commit([first, writer.write(iter([]))])
@@ -124,6 +130,50 @@ def test_service_keeps_what_was_sent_before(spark, tmp_path):
     assert read() == [4]
 
 
+def test_batches_are_requests_of_bounded_size(spark, tmp_path):
+    path = f"file://{tmp_path}/remote"
+    spark.dataSource.register(TableService)
+    rows = spark.createDataFrame([(i, "insert", "x") for i in range(250)], "doc_id bigint, op string, content_hash string")
+    sync.send(sync.batches(rows, size=40, lanes=3), path)
+    sent = lambda: [p.value for p in TableReader(path, []).partitions()]
+    names = sent()
+    assert len(names) >= 7
+    for _ in range(2):  # the second time nothing changes
+        got = spark.read.format("table_service").option("path", path).load()
+        assert sorted(r.doc_id for r in got.collect()) == list(range(250))
+        sync.send(sync.batches(rows, size=40, lanes=3), path)
+    assert sent() == names
+    same = TableWriter(path, ["doc_id"], most_rows=2)  # equal rows in several requests of a task
+    same.commit([same.write(iter([{"doc_id": 1000}] * 5))])
+    assert spark.read.format("table_service").option("path", path).load().where("doc_id = 1000").count() == 5
+
+
+def test_null_content_is_not_empty(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sync.changes(frame([(1, ""), (2, None), (3, None), (4, None)]), frame([(1, None), (2, ""), (3, None), (5, None)]))
+    assert {(r.doc_id, r.op) for r in got.collect()} == {(1, "update"), (2, "update"), (4, "insert"), (5, "delete")}
+
+
+def test_neighbours_as_brute_force(spark):
+    rng = Random(3)
+    vectors = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(90)] + [(90, [0.0] * 4), (91, None), (92, [1.0, 2.0]), (93, [2.0, 4.0])]
+    df = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b, strict=True))
+    use = {i: v for i, v in vectors if v and any(v)}
+    want = []
+    for q in use:
+        near = sorted((-round(dot(use[q], v) / (dot(use[q], use[q]) * dot(v, v)) ** 0.5, 5), i) for i, v in use.items() if i != q and len(v) == len(use[q]))
+        want += [(q, n + 1, i, -x) for n, (x, i) in enumerate(near[:5])]
+    assert sorted(tuple(r) for r in difficulty.neighbours(df, df, 5, 20).collect()) == sorted(want)
+
+
+def test_bands_as_windows(spark):
+    turns = spark.createDataFrame([(i, i % 3, "ab"[i % 7 == 0], "x" * (i * 7 % 11)) for i in range(103)] + [(500, 0, "c", None)], "conv_id bigint, turn bigint, role string, text string")
+    turns.createOrReplaceTempView("turns")
+    want = spark.sql("SELECT conv_id, turn, cast(ntile(5) OVER w AS bigint), round(percent_rank() OVER w, 6) FROM turns WINDOW w AS (PARTITION BY role ORDER BY length(text), conv_id, turn)")
+    assert sorted(map(tuple, difficulty.relative_bands(turns).collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_incremental_runs_each_file_once(spark, tmp_path):
     src, out, mark = (str(tmp_path / x) for x in ("src", "out", "mark"))
     spark.range(5).coalesce(1).write.parquet(src)
