@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-STEPS = (0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.8125, 0.875, 0.9375, 1.0)
+STEPS = (0.125, 0.375, 0.625, 0.8125, 0.9375, 1.0)
 _LEAST, _MOST = -(1 << 63), (1 << 63) - 1
 
 
