@@ -8,11 +8,14 @@ state is the array of those counts and the open windows of each level.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +24,9 @@ from .common import written
 WINDOW = 2048
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 _MEMO = 800_000  # entries a worker keeps; words beyond are encoded each time
+_CHUNK, _WORDS = 1 << 24, 1 << 20  # bytes of text and words that are looked up at once
+#: Words of all classes that pieces must give the same ids as the tokenizer does.
+_PROBES = ("plain", "Über-Größe,", "don't", "they'll've", "a1b22c", "x--y__z", "ÀÖØöøÿ", "'tis", "(end).", "#%&", "1234567", "ß")
 
 
 class _ByteChars(dict):
@@ -37,26 +43,36 @@ class _ByteChars(dict):
         return found
 
 
+def _splits_at_space_and_lowers(tokenizer) -> bool:
+    """Whether the tokenizer lower-cases, splits words as `_PIECE` does, and takes bytes as characters: by its own settings."""
+    settings = json.loads(tokenizer.to_str())
+    normal, splits = json.dumps(settings["normalizer"]), json.dumps(settings["pre_tokenizer"])
+    return settings["model"]["type"] == "BPE" and "Lowercase" in normal and "ByteLevel" in splits and not settings["model"].get("ignore_merges")
+
+
+#: How the lower-casing tokenizer splits a word, on the Latin letters that `_LATIN` lets through.
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^0-9a-zß-öø-ÿ]+").findall
+_LATIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch  # composed, and lower-cased alike everywhere
+
+
 class WordIds(dict):
     """Ids of a white-space separated word as little-endian 16 or 32-bit numbers, remembered.
 
     The tokenizer splits at white space and never looks across it, so a text's ids are its
     words' ids joined. Of the lower-casing tokenizer (`by_piece`) words are lower-cased first, and
-    those of plain Latin characters are put together from pieces that go to the BPE model directly.
+    those of plain Latin characters are put together from pieces that go to the BPE model directly;
+    a word list checks that on loading.
     """
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.chars = self.tokenizer.model, _ByteChars()
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.latin = regex.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch  # composed, and lower-cased alike everywhere
-        self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
-        self.by_piece = path.endswith("word_bpe_49k.json")
         self.pieces: dict[str, bytes] = {}
+        self.by_piece = _splits_at_space_and_lowers(self.tokenizer) and all(self.from_pieces(w) == self.encoded(w) for w in _PROBES)
 
     def encoded(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -68,30 +84,50 @@ class WordIds(dict):
                 self.pieces[text] = found
         return found
 
-    def __missing__(self, word: bytes) -> bytes:
-        text = word.decode()
-        if self.by_piece and "<|" not in text and self.latin(text):
-            found = b"".join(map(self.piece, self.split(text.lower())))
-        else:
-            found = self.encoded(text)
-        if len(self) < _MEMO and len(word) <= 64:
-            self[word] = found
+    def from_pieces(self, text: str) -> bytes:
+        return b"".join(map(self.piece, _PIECE(text.lower())))
+
+    def __missing__(self, text: str) -> bytes:
+        found = self.from_pieces(text) if self.by_piece and "<|" not in text and _LATIN(text) else self.encoded(text)
+        if len(self) < _MEMO and len(text) <= 64:
+            self[text] = found
         return found
 
-    def ids(self, text: str | None) -> np.ndarray:
-        raw = (text or "").encode()
-        words = (raw if b"<|" in raw or not self.by_piece else raw.lower()).split()
-        found = list(map(self.get, words))
-        try:
-            joined = b"".join(found)
-        except TypeError:  # some are not remembered
-            joined = b"".join([self[w] if x is None else x for w, x in zip(words, found, strict=True)])
-        return np.frombuffer(joined, self.kind).astype("<u4")
+    def ids(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text, by the distinct words of all. A text with special tokens isn't lower-cased."""
+        texts = pc.fill_null(texts, "")
+        lowered = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)) if self.by_piece else texts
+        lists = pc.ascii_split_whitespace(lowered)
+        coded = lists.flatten().dictionary_encode()
+        found = list(map(self.__getitem__, coded.dictionary.to_pylist()))
+        pool = np.frombuffer(b"".join(found), self.kind)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // pool.itemsize
+        starts, codes, begin = np.cumsum(sizes) - sizes, coded.indices.to_numpy(), 0
+        for n in pc.list_value_length(lists).to_pylist():
+            parts = []
+            for at in range(begin, begin + n, _WORDS):  # a very long text in parts
+                c = codes[at : min(begin + n, at + _WORDS)]
+                size = sizes[c]
+                ends = np.cumsum(size)
+                parts.append(pool[np.repeat(starts[c] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)])
+            begin += n
+            yield parts[0] if len(parts) == 1 else np.concatenate([np.zeros(0, self.kind), *parts])
 
 
 _workers: dict[str, WordIds] = {}
 
 
+def _about(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """Slices of whole rows with about `size` bytes of text each."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + size)))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = WINDOW, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens: each text's ids and `end_id`, cut at each full window."""
 
@@ -99,13 +135,14 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int =
         words = _workers.setdefault(tokenizer, None) or _workers.update({tokenizer: WordIds(tokenizer)}) or _workers[tokenizer]
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
-            for key, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.append(words.ids(body.as_py()), np.uint32(end_id)).astype("<u4")
-                raw, n = memoryview(ids).cast("B"), len(ids)
-                for at in range(0, n, window):
-                    end = min(n, at + window)
-                    for column, x in zip(out, (key, at, end - at, zlib.crc32(raw[4 * at : 4 * end]), n), strict=True):
-                        column.append(x)
+            for some in _about(batch, _CHUNK):
+                for key, body in zip(some.column(0).to_pylist(), words.ids(some.column(1)), strict=True):
+                    ids = np.append(body, np.array(end_id, "<u4")).astype("<u4")
+                    raw, n = memoryview(ids).cast("B"), len(ids)
+                    for at in range(0, n, window):
+                        end = min(n, at + window)
+                        for column, x in zip(out, (key, at, end - at, zlib.crc32(raw[4 * at : 4 * end]), n), strict=True):
+                            column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     return docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, _PIECES)

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 from random import Random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -19,8 +20,24 @@ def text(rng, n):
 def test_ids_as_the_tokenizer():
     path, rng = public.path("word_bpe_49k.json"), Random(1)
     own, words = Tokenizer.from_file(path), WordIds(path)
-    for t in [text(rng, rng.randint(0, 30)) for _ in range(500)] + ["", " ", "É"]:
-        assert words.ids(t).tolist() == own.encode(t, add_special_tokens=False).ids, t
+    assert words.by_piece
+    texts = [text(rng, rng.randint(0, 30)) for _ in range(500)] + ["", " ", "É", None]
+    texts += ["".join(chr(rng.randrange(33, 0x250)) + rng.choice(["", "", " "]) for _ in range(40)) for _ in range(300)]
+    for t, ids in zip(texts, words.ids(pa.array(texts)), strict=True):
+        assert ids.tolist() == own.encode(t or "", add_special_tokens=False).ids, t
+
+
+def test_ids_in_parts(monkeypatch):
+    from strataq.llm import packing
+
+    path, rng = public.path("word_bpe_49k.json"), Random(3)
+    texts = [text(rng, n) for n in (300, 0, 5, 7, 1)]
+    want = [x.tolist() for x in WordIds(path).ids(pa.array(texts))]
+    monkeypatch.setattr(packing, "_WORDS", 4)
+    assert [x.tolist() for x in WordIds(path).ids(pa.array(texts))] == want
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(6)), "text": [*texts, None]})
+    parts = list(packing._about(batch, 60))
+    assert sum(p.num_rows for p in parts) == 6 and len(parts) > 1 and pa.Table.from_batches(parts).to_pydict() == batch.to_pydict()
 
 
 def test_pieces(spark):
