@@ -17,7 +17,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import written
 
@@ -234,22 +233,19 @@ def accepted(docs: DataFrame, labels: DataFrame, held_out: Column, text: str = "
     extra = "x"
     while extra.lower() in {c.lower() for c in docs.columns}:
         extra += "_"
-    schema = T.StructType([*docs.schema.fields, T.StructField(extra, T.ArrayType(T.DoubleType()))])
-    names, at = docs.columns, docs.columns.index(text)
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_features(batch.column(at)), pa.list_(pa.float64()))], names=[*names, extra])
+    # only the text goes to Python, and only the features when scores are asked for
+    @F.arrow_udf("array<double>")
+    def features(texts: pa.Array) -> pa.Array:
+        return pa.array(_features(texts), pa.list_(pa.float64()))
 
-    rows = written(docs.mapInArrow(features, schema), "features")
+    rows = written(docs.withColumn(extra, features(F.col(f"`{text}`"))), "features")
     net = learned(rows.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("h"), F.col(extra).alias("x")), labels, held_out)
     if net is None:
         return rows.drop(extra)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                kept = pa.array(net.score(np.array(batch.column(batch.num_columns - 1).to_pylist())) >= threshold)
-                yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=names).filter(kept)
+    @F.arrow_udf("boolean")
+    def good(x: pa.Array) -> pa.Array:
+        return pa.array(net.score(np.array(x.to_pylist()).reshape(len(x), N_FEATURES)) >= threshold)
 
-    return rows.mapInArrow(run, docs.schema)
+    return rows.where(good(F.col(extra))).drop(extra)
