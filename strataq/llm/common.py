@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_libc = ctypes.CDLL(None)
 #: A word is a maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -48,14 +52,31 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def with_row(docs: DataFrame, **named: Column) -> DataFrame:
-    """`row`, all columns of `docs` as a struct, and the named ones: no name of `docs` can clash with a helper's."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[x.alias(name) for name, x in named.items()])
+def release_memory() -> None:
+    """Gives what a Python worker holds but doesn't use back to the machine: a worker that waits keeps the size of its largest task else."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run` for mapInArrow, memory released after the last batch."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release_memory()
+
+    return wrapped
+
+
+def with_row(docs: DataFrame, without: Sequence[str] = (), **named: Column) -> DataFrame:
+    """`row`, all columns of `docs` but those `without` as a struct, and the named ones: no name of `docs` can clash with a helper's."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in without]).alias("row"), *[x.alias(name) for name, x in named.items()])
 
 
 def of_row(docs: DataFrame, **replaced: Column) -> list[Column]:
     """The columns of `docs` from `row`, some replaced."""
-    return [replaced.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
+    return [(replaced[c] if c in replaced else F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
 
 
 def md5_int(text: Column, digits: int = 12) -> Column:

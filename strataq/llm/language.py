@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import lean
+
 SEGMENT, HIDDEN, BLOCK = 128, 8, 1024
 #: Training documents a language, at most about, and the segments taken from each.
 MOST_DOCUMENTS, PARTS, TRAIN_SEGMENT = 1500, 2, 64
@@ -172,7 +174,7 @@ def _training_segments(rows: DataFrame) -> DataFrame:
                     segments.append((part * (TRAIN_SEGMENT // len(part) + 1))[:TRAIN_SEGMENT])  # short texts over again
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(segments, pa.binary())], names=["lang", "segment"])
 
-    return rows.mapInArrow(run, "lang string, segment binary")
+    return rows.mapInArrow(lean(run), "lang string, segment binary")
 
 
 def identify(docs: DataFrame, held_out: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", most: int = MOST_DOCUMENTS) -> DataFrame:
@@ -218,4 +220,4 @@ def identify(docs: DataFrame, held_out: Column, text: str = "text", lang: str =
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     kind = dict(given.dtypes)["doc_id"]
-    return given.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return given.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(lean(run), f"doc_id {kind}, held_out boolean, lang_pred string, score double")

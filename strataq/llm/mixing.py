@@ -115,7 +115,7 @@ def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source",
     Null sources form one source, the last; rows without an id and repeated rows are rows like
     others. Columns may have any names; an empty table stays empty.
     """
-    row = with_row(docs, **{n: F.col(f"`{c}`") for c, n in ((text, "text"), (source, "source"), (doc_id, "doc_id"))})
+    row = with_row(docs, [text], **{n: F.col(f"`{c}`") for c, n in ((text, "text"), (source, "source"), (doc_id, "doc_id"))})
     placed = mix(row, weights=weights, share_percent=share_percent, most_epochs=most_epochs, keep=["row", "text"])
     whole, part = F.floor(F.col("taken") / F.col("size")), F.col("taken") % F.col("size")
     copies = placed.where("taken > 0").withColumns({"_whole": whole, "_part": part}).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_whole") + F.when(F.col("_part") > 0, 1).otherwise(0))))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import of_row, with_row, written
+from .common import lean, of_row, with_row, written
 from .components import components
 
 COORDINATES = 128
@@ -181,7 +181,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                     names=names,
                 )
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, digest binary, bands array<bigint>, small binary")
+    return docs.mapInArrow(lean(run), "doc_id bigint, n bigint, digest binary, bands array<bigint>, small binary")
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -194,7 +194,7 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
                 sets = [hashes[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array([_digest(x) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["doc_id", "digest", "items"])
 
-    return docs.mapInArrow(run, "doc_id bigint, digest binary, items binary")
+    return docs.mapInArrow(lean(run), "doc_id bigint, digest binary, items binary")
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -221,9 +221,9 @@ def _alike(pairs: DataFrame, sets: DataFrame, reps: DataFrame, percent: int) ->
             yield pa.RecordBatch.from_arrays([batch.column("u").filter(sure), batch.column("v").filter(sure)], names=["u", "v"])
 
     schema = "u bigint, v bigint"
-    likely = sized.select("u", "v", "small_u", "small_v").mapInArrow(near, schema)
+    likely = sized.select("u", "v", "small_u", "small_v").mapInArrow(lean(near), schema)
     of = lambda new: sets.select(F.col("doc_id").alias(new), F.col("items").alias(f"items_{new}"))
-    return written(likely.join(of("u"), "u").join(of("v"), "v").select("u", "v", "items_u", "items_v").mapInArrow(alike, schema), "links")
+    return written(likely.join(of("u"), "u").join(of("v"), "v").select("u", "v", "items_u", "items_v").mapInArrow(lean(alike), schema), "links")
 
 
 def _placed(rows: DataFrame, roots: DataFrame, node: str, comp: str) -> DataFrame:
@@ -242,7 +242,7 @@ def _tokens(sets: DataFrame) -> DataFrame:
             repeat = lambda c: np.repeat(batch.column(c).to_numpy(), sizes)
             yield pa.RecordBatch.from_arrays([pa.array(repeat("doc_id")), pa.array(repeat("comp")), pa.array(np.repeat(sizes, sizes)), pa.array(np.concatenate([np.zeros(0, np.int64), *items]))], names=["doc_id", "comp", "n", "item"])
 
-    return sets.select("doc_id", "comp", "items").mapInArrow(run, "doc_id bigint, comp bigint, n bigint, item bigint")
+    return sets.select("doc_id", "comp", "items").mapInArrow(lean(run), "doc_id bigint, comp bigint, n bigint, item bigint")
 
 
 def _bin(n: Column, percent: int) -> Column:
@@ -278,7 +278,7 @@ def _sketched(sets: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *odd], names=["doc_id", "odd0", "odd1", "odd2"])
 
     own = _bin(F.floor(F.octet_length("items") / 8), percent).alias("own")
-    return sets.select("doc_id", "items", own).mapInArrow(run, "doc_id bigint, odd0 binary, odd1 binary, odd2 binary")
+    return sets.select("doc_id", "items", own).mapInArrow(lean(run), "doc_id bigint, odd0 binary, odd1 binary, odd2 binary")
 
 
 def _fits(n_u, n_v, rest_u, rest_v, least, percent: int):

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import lean, written
 
 WINDOW = 2048
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
@@ -145,7 +145,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int =
                             column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, _PIECES)
+    return docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(lean(run), _PIECES)
 
 
 class SumOfSquares:
@@ -197,7 +197,7 @@ def pack(pieces: DataFrame, window: int = WINDOW, per_task: int = 1 << 26) -> Da
 
     dealt = pieces.select(*fields).repartition(max(1, -(-total // per_task)))
     ordered = dealt.sortWithinPartitions(F.col("length").desc(), "ids_crc32", "doc_id", "start")
-    return ordered.mapInArrow(run, f"{_PIECES}, sequence_id bigint, offset bigint")
+    return ordered.mapInArrow(lean(run), f"{_PIECES}, sequence_id bigint, offset bigint")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = WINDOW) -> DataFrame:

@@ -232,7 +232,7 @@ def mask_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     found = personal_data(docs, text, doc_id).where(F.size("spans") > 0).dropDuplicates(["doc_id", "h"])
     found = found.select(F.col("doc_id").alias("found_id"), F.col("h").alias("found_h"), "spans")
     body = F.col(f"`{text}`")
-    rows = with_row(docs, doc_id=F.col(f"`{doc_id}`"), text=body, h=F.xxhash64(F.coalesce(body, F.lit(""))))
+    rows = with_row(docs, [text], doc_id=F.col(f"`{doc_id}`"), text=body, h=F.xxhash64(F.coalesce(body, F.lit(""))))
     both = rows.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("h") == F.col("found_h")), "left")
     out = F.when(F.col("spans").isNull(), F.col("text")).otherwise(masked(F.col("text"), F.col("spans")))
     return both.select(*of_row(docs, **{text: out}))

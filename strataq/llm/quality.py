@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import lean, release_memory, written
 
 #: Rows that the model is fitted on, at most about; hashes of id and text choose them.
 MOST_POSITIVE, MOST_UNLABELLED = 20_000, 40_000
@@ -74,7 +74,7 @@ def featured(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), x], names=["doc_id", "h", "x"])
 
     kind, body = dict(docs.dtypes)[doc_id], F.col(f"`{text}`")
-    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("h"), body.alias("text")).mapInArrow(run, f"doc_id {kind}, h bigint, x array<double>")
+    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("h"), body.alias("text")).mapInArrow(lean(run), f"doc_id {kind}, h bigint, x array<double>")
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -220,7 +220,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out: Column, text: st
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     kind = dict(x.dtypes)["doc_id"]
-    return x.select("doc_id", held_out.alias("held_out"), "x").mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
+    return x.select("doc_id", held_out.alias("held_out"), "x").mapInArrow(lean(run), f"doc_id {kind}, held_out boolean, score double, predicted int")
 
 
 def accepted(docs: DataFrame, labels: DataFrame, held_out: Column, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.3) -> DataFrame:
@@ -237,7 +237,9 @@ def accepted(docs: DataFrame, labels: DataFrame, held_out: Column, text: str = "
     # only the text goes to Python, and only the features when scores are asked for
     @F.arrow_udf("array<double>")
     def features(texts: pa.Array) -> pa.Array:
-        return pa.array(_features(texts), pa.list_(pa.float64()))
+        out = pa.array(_features(texts), pa.list_(pa.float64()))
+        release_memory()
+        return out
 
     rows = written(docs.withColumn(extra, features(F.col(f"`{text}`"))), "features")
     net = learned(rows.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("h"), F.col(extra).alias("x")), labels, held_out)

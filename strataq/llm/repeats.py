@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import written
+from .common import lean, written
 
 THRESHOLD, PASSAGE = 400, 50
 _BYTES, _WORDS = 0, 1  # units
@@ -212,7 +212,7 @@ def settled(folded: DataFrame, thresholds: tuple[int, int], name: str) -> DataFr
         if held:
             yield _batch(settle({c: np.concatenate([x[c] for x in held]) for c in _NAMES}, thresholds))
 
-    return written(folded.repartition("key").sortWithinPartitions("key").mapInArrow(run, _ROW), name)
+    return written(folded.repartition("key").sortWithinPartitions("key").mapInArrow(lean(run), _ROW), name)
 
 
 def _segments(texts: Iterable[bytes], threshold: int, width: int = 1) -> Iterator[list[tuple[int, int, bytes]]]:
@@ -256,7 +256,7 @@ def first_digits(docs: DataFrame, thresholds: tuple[int, int]) -> DataFrame:
             if found:
                 yield _batch(fold({c: np.concatenate([x[c] for x in found]) for c in _NAMES}, thresholds))
 
-    return docs.mapInArrow(run, _ROW)
+    return docs.mapInArrow(lean(run), _ROW)
 
 
 def _of(kind: int) -> Column:
@@ -286,7 +286,7 @@ def around_open(docs: DataFrame, rows: DataFrame, thresholds: tuple[int, int]) -
                     out.append((doc.as_py(), h.as_py(), unit, a, lo, hi, a - begin, raw[unit][width * begin : width * (a - lo + thresholds[unit])]))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 8, [pa.int64()] * 7 + [pa.binary()], strict=True)], names=names)
 
-    return docs.join(lists, ["doc", "h"]).select("doc", "h", "text", "places").mapInArrow(run, schema)
+    return docs.join(lists, ["doc", "h"]).select("doc", "h", "text", "places").mapInArrow(lean(run), schema)
 
 
 def _range_rows(doc, h, unit, a, lo, hi, off, around, thresholds: tuple[int, int]) -> Iterator[tuple]:
@@ -310,7 +310,7 @@ def next_digits(contexts: DataFrame, thresholds: tuple[int, int]) -> DataFrame:
                 table = np.array(out, np.int64)
                 yield _batch(fold({c: table[:, i] for i, c in enumerate(_NAMES)}, thresholds))
 
-    return contexts.select("doc", "h", "unit", "a", "low", "high", "off", "around").mapInArrow(run, _ROW)
+    return contexts.select("doc", "h", "unit", "a", "low", "high", "off", "around").mapInArrow(lean(run), _ROW)
 
 
 def last_digits(contexts: DataFrame, rows: DataFrame, thresholds: tuple[int, int]) -> DataFrame:
@@ -331,7 +331,7 @@ def last_digits(contexts: DataFrame, rows: DataFrame, thresholds: tuple[int, int
                 table = np.array(out, np.int64)
                 yield _batch(fold({c: table[:, i] for i, c in enumerate(_NAMES)}, thresholds))
 
-    return joined.select("doc", "h", "unit", "a", "off", "around", "d0", "d1").mapInArrow(run, _ROW)
+    return joined.select("doc", "h", "unit", "a", "off", "around", "d0", "d1").mapInArrow(lean(run), _ROW)
 
 
 def repeated_spans(docs: DataFrame, thresholds: tuple[int, int] = (THRESHOLD, 0)) -> DataFrame:
@@ -391,4 +391,4 @@ def cut_repeats(docs: DataFrame, threshold: int = THRESHOLD, passage: int = 0, t
             arrays = [pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 7, columns.values(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], names=["doc_id", *columns])
 
-    return keyed.join(spans, ["doc", "h"], "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
+    return keyed.join(spans, ["doc", "h"], "left").select("doc_id", "text", "spans").mapInArrow(lean(run), schema)
