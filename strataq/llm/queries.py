@@ -82,6 +82,24 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(rows.where(F.col("vec_id") % 100 == 0), rows, 10)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .links import judge
+
+    return judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .trie import prefix_tree
+
+    return prefix_tree(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeats": op1_repeats,
     "op2_sharding": op2_sharding,
@@ -93,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_top_k": op10_top_k,
+    "op11_whitening": op11_whitening,
+    "op12_url_verdicts": op12_url_verdicts,
+    "op13_prefix_tree": op13_prefix_tree,
 }
 
 _CRC_STEP = "CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
@@ -150,4 +171,40 @@ ORACLES: dict[str, str] = {
               FROM v q JOIN v c ON q.key <> c.key AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0)
         SELECT query_id, CAST(row_number() OVER (PARTITION BY key ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM s QUALIFY rank <= 10""",
+    "op12_url_verdicts": r"""
+        WITH RECURSIVE p AS (SELECT page_id, html, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+              regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+        j AS (SELECT *, CASE WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+              WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+              WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/' WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+              WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule FROM p),
+        said AS (SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS said FROM j),
+        l AS (SELECT host AS src, unnest(list_distinct(list_transform(regexp_extract_all(html, '(?i)href[ \t\n\r]*=[ \t\n\r]*["'']?[ \t\n\r]*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'' \t\n\r>]+)', 1),
+              lambda h: translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')))) AS dst FROM said WHERE host <> ''),
+        e AS MATERIALIZED (SELECT src, dst, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY src) AS share FROM l WHERE src <> dst GROUP BY src, dst),
+        s AS (SELECT host, CAST(count(*) FILTER (said = 'allow') AS DOUBLE) / count(*) AS trust, CAST(count(*) FILTER (said = 'block') AS DOUBLE) / count(*) AS distrust FROM said WHERE host <> '' GROUP BY host),
+        x AS (SELECT 0 AS round, host, trust, distrust FROM s WHERE trust > 0 OR distrust > 0
+              UNION ALL SELECT round + 1, CASE side WHEN 1 THEN e.dst ELSE e.src END AS host, sum(CASE side WHEN 1 THEN 0.85 * share * trust ELSE 0 END), sum(CASE side WHEN 2 THEN 0.85 * share * distrust ELSE 0 END)
+              FROM x CROSS JOIN (VALUES (1), (2)) AS o(side) JOIN e ON x.host = CASE side WHEN 1 THEN e.src ELSE e.dst END WHERE round < 20 GROUP BY ALL
+              HAVING greatest(sum(CASE side WHEN 1 THEN 0.85 * share * trust ELSE 0 END), sum(CASE side WHEN 2 THEN 0.85 * share * distrust ELSE 0 END)) >= 1e-6),
+        bad AS (SELECT host AS bad FROM x GROUP BY host HAVING round(sum(distrust), 9) >= 0.5 AND round(sum(distrust), 9) > round(sum(trust), 9))
+        SELECT page_id, host, path, rule, coalesce(said, CASE WHEN bad IS NULL THEN 'allow' ELSE 'block' END) AS verdict FROM said LEFT JOIN bad ON host = bad""",
+    "op13_prefix_tree": f"""
+        WITH tab AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: {_CRC_STEP}) AS c FROM range(256) r(i))),
+        g AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+        k AS (SELECT *, substr(sha256(CAST(length(role) AS VARCHAR) || ':' || role || text), 1, 32) AS x, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words FROM g),
+        o AS (SELECT conv_id, list(x ORDER BY turn NULLS FIRST, substr(role, 1, 32), substr(text, 1, 32), x) AS own,
+                list(words ORDER BY turn NULLS FIRST, substr(role, 1, 32), substr(text, 1, 32), x) AS words FROM k GROUP BY conv_id),
+        c AS (SELECT o.*, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(CAST(conv_id AS VARCHAR))), lambda i: CAST(ascii(substr(CAST(conv_id AS VARCHAR), i + 1, 1)) AS BIGINT))),
+                lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 4 AS h FROM o, tab),
+        r AS (SELECT c.conv_id, list_concat(coalesce(b.own[1:c.h], []), c.own[c.h + 1:]) AS s, list_concat(coalesce(b.words[1:c.h], []), c.words[c.h + 1:]) AS w FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 20),
+        m AS (SELECT conv_id, s, w, unnest(range(0, len(s) + 1)) AS depth FROM r),
+        n AS (SELECT array_to_string(s[1:depth], ',') AS p, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(max(w[depth]), 0) AS saved,
+                sha256(coalesce(string_agg(CASE WHEN len(s) = depth THEN conv_id END, ',' ORDER BY conv_id), '')) AS ends_sha256 FROM m GROUP BY p, depth),
+        ch AS (SELECT left(p, greatest(33 * depth - 34, 0)) AS p, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+        full_ AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN ch USING (p, depth)),
+        up AS (SELECT *, unnest(range(0, depth + 1)) AS lvl FROM full_),
+        sub AS (SELECT left(p, greatest(33 * lvl - 1, 0)) AS p, lvl AS depth, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM up GROUP BY ALL)
+        SELECT f.conv_id, f.depth, q.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+        FROM full_ f JOIN sub USING (p, depth) LEFT JOIN n q ON q.depth = f.depth - 1 AND q.p = left(f.p, greatest(33 * f.depth - 34, 0))""",
 }
