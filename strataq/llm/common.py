@@ -23,10 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a folder of this machine only where the session names none."""
+    """The folder all executors share: spark.checkpoint.dir. Only a local session, as in tests, may name none; it gets a folder of this machine."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not hasattr(shared_dir, "own"):
         shared_dir.own = tempfile.mkdtemp(prefix="strataq-")
         atexit.register(shutil.rmtree, shared_dir.own, True)
@@ -88,6 +90,16 @@ def key_text(key: Column) -> Column:
     return F.coalesce(key.cast("string"), F.lit("null"))
 
 
+def share_bound(share: float) -> int:
+    """The long under which a 64-bit hash lies with probability `share` (under 1), however small."""
+    return min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
+
+
+def in_share(key: Column, seed: int, share: float) -> Column:
+    """Whether `key` is in a sample of about `share` of all keys, which no repartitioning or rerun changes; 1 and more: all."""
+    return F.lit(True) if share >= 1 else F.xxhash64(key, F.lit(seed)) < F.lit(share_bound(share))
+
+
 def id_remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id written as text, modulo; a null id counts as the text 'null'."""
     return F.pmod(F.crc32(key_text(doc_id)), F.lit(modulus))

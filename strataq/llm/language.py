@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean
+from .common import in_share, lean
 
 SEGMENT, HIDDEN, BLOCK = 128, 8, 1024
 #: Training documents a language, at most about, and the segments taken from each.
@@ -191,10 +191,10 @@ def identify(docs: DataFrame, held_out: Column, text: str = "text", lang: str =
     languages = sorted(counts)
     net = None
     if languages:
-        share = F.lit(0.0)
+        chosen_ = F.lit(False)
         for name in languages:
-            share = F.when(F.col("lang") == name, min(1.0, most / counts[name])).otherwise(share)
-        chosen = taught.where(F.pmod(F.xxhash64("key", F.lit(3)), F.lit(1 << 20)) < share * (1 << 20)).dropDuplicates(["key", "lang"])
+            chosen_ = F.when(F.col("lang") == name, in_share(F.col("key"), 3, most / counts[name])).otherwise(chosen_)
+        chosen = taught.where(chosen_).dropDuplicates(["key", "lang"])
         found = _training_segments(chosen.select("key", "text", "lang")).orderBy("lang", "segment").toPandas()
         kept = [x for x in languages if (found.lang == x).any()]
         if kept:

@@ -11,6 +11,7 @@ probability. Rows of label 0 are unlabelled text like any other; their labels ar
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,29 +19,71 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, release_memory, written
+from .common import in_share, lean, release_memory, written
 
 #: Rows that the model is fitted on, at most about; hashes of id and text choose them.
 MOST_POSITIVE, MOST_UNLABELLED = 20_000, 40_000
 _SYMBOLS = [np.frombuffer(x, np.uint8) for x in (b"|", b"#*$%&<>", b"!?", b".,;:", b"\"'()[]{}", b"-_/\\=+@^~`")]
 N_FEATURES = 24
+_PART, _BLANK = 1 << 20, re.compile(r"\s")
+_ODD = np.array([-7046029254386353131, 5871781006564002453], np.int64)  # two odd multipliers of a triple's words
+
+
+def _parts(t: str) -> Iterator[str]:
+    """`t` in parts of about a million characters, cut where white space is."""
+    begin = 0
+    while begin < len(t):
+        cut = _BLANK.search(t, min(len(t), begin + _PART))
+        end = cut.start() if cut else len(t)
+        yield t[begin:end]
+        begin = end
+
+
+def _lines(t: str) -> Iterator[str]:
+    begin = 0
+    while begin <= len(t):
+        end = t.find("\n", begin)
+        line = t[begin : end if end >= 0 else len(t)]
+        if line and not line.isspace():
+            yield line
+        begin = end + 1 if end >= 0 else len(t) + 1
+
+
+def _distinct(hashes: np.ndarray) -> int:
+    """How many there are; sorts them where they lie."""
+    hashes.sort()
+    return len(hashes[:1]) + int(np.count_nonzero(hashes[1:] != hashes[:-1]))
 
 
 def text_features(text: str | None) -> list[float]:
+    """Statistics of a whole text. A text is read part by part; of each word and line 64-bit hashes are held, which tell equal ones."""
     t = text or ""
-    raw = np.frombuffer(t.encode(), np.uint8)
-    n = max(1, len(raw))
-    count = np.bincount(raw, minlength=256) / n
-    words = t.split()
-    w = max(1, len(words))
-    lines = [x for x in t.split("\n") if x and not x.isspace()]
-    m = max(1, len(lines))
-    twice = sum(map(str.__eq__, words, words[1:]))
-    thrice = len(set(zip(words, words[1:], words[2:], strict=False)))
-    sizes = np.fromiter(map(len, words), np.int64, len(words)) if words else np.zeros(1)
+    count, upper = np.zeros(256, np.int64), 0
+    found, lengths = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+    for part in _parts(t):
+        count += np.bincount(np.frombuffer(part.encode(), np.uint8), minlength=256)
+        words = part.split()
+        found.append(np.fromiter(map(hash, words), np.int64, len(words)))
+        lengths.append(np.fromiter(map(len, words), np.int32, len(words)))
+        upper += sum(map(str.isupper, words))
+    words, sizes = np.concatenate(found), np.concatenate(lengths)
+    del found, lengths
+    lines = np.fromiter(map(hash, _lines(t)), np.int64)
+    size, n_words = int(count.sum()), len(words)
+    count = count / max(1, size)
+    w, m = max(1, n_words), max(1, len(lines))
+    twice = int((words[1:] == words[:-1]).sum())
+    thrice = 0
+    if n_words > 2:
+        triples = words[:-2] * _ODD[0]
+        triples += words[1:-1] * _ODD[1]
+        triples += words[2:]
+        thrice = _distinct(triples)
+        del triples
+    sizes = sizes if n_words else np.zeros(1)
     return [
-        np.log1p(len(raw)),
-        np.log1p(len(words)),
+        np.log1p(size),
+        np.log1p(n_words),
         *(count[x].sum() for x in _SYMBOLS),
         count[65:91].sum(),
         count[97:123].sum(),
@@ -52,12 +95,12 @@ def text_features(text: str | None) -> list[float]:
         sizes.mean(),
         sizes.std(),
         sizes.max() / 100,
-        len(set(words)) / w,
+        _distinct(words) / w,
         twice / w,
-        thrice / max(1, len(words) - 2),
-        sum(map(str.isupper, words)) / w,
-        len(set(lines)) / m,
-        np.log1p(len(words) / m),
+        thrice / max(1, n_words - 2),
+        upper / w,
+        _distinct(lines) / m,
+        np.log1p(n_words / m),
     ]
 
 
@@ -183,8 +226,7 @@ def calibrate(net: Network, positive: np.ndarray, unlabelled: np.ndarray, prior:
 def _sample(rows: DataFrame, most: int) -> np.ndarray:
     """About `most` distinct rows (k, x), whatever ids and copies they have; k, a hash, chooses them."""
     n = rows.agg(F.approx_count_distinct("k")).first()[0]
-    share = min(1.0, most / max(1, n))
-    found = rows.where(F.pmod(F.xxhash64("k"), F.lit(1 << 20)) < int(share * (1 << 20))).dropDuplicates(["k"]).orderBy("k").select("x").toPandas().x
+    found = rows.where(in_share(F.col("k"), 4, most / max(1, n))).dropDuplicates(["k"]).orderBy("k").select("x").toPandas().x
     return np.stack(found.to_list()) if len(found) else np.zeros((0, N_FEATURES))
 
 

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, written
+from .common import in_share, let, written
 
 SYMBOLS = "#*$%&|<>"
 _SPACE = " \t\n\x0b\x0c\r"
@@ -37,13 +37,18 @@ def _repeated_words(words: Column) -> Column:
 
     def of_hashes(w: Column, h: Column) -> Column:
         window = lambda i: F.xxhash64(h[i], h[i + 1], h[i + 2])
-        keyed = F.transform(F.sequence(F.lit(0), F.size(h) - 3), lambda i: window(i).bitwiseAND(~low).bitwiseOR(i.cast("bigint")))
+        places = F.sequence(F.lit(0), F.size(h) - 3)
+        # hash and place share a long, which sorts fast; a text of more places than its bits can tell has them side by side
+        short = F.transform(places, lambda i: window(i).bitwiseAND(~low).bitwiseOR(i.cast("bigint")))
+        long_ = F.transform(places, lambda i: F.struct(window(i).alias("k"), i.alias("p")))
 
-        def candidates(s: Column) -> Column:
-            key = lambda x: F.shiftright(x, _POSITION_BITS)
+        def candidates(s: Column, key, place) -> Column:
             same = lambda x, y: F.coalesce(key(x) == key(y), F.lit(False))
             twice = F.filter(s, lambda x, j: same(x, F.get(s, j + 1)) | same(x, F.get(s, j - 1)))
-            return F.transform(twice, lambda x: x.bitwiseAND(low).cast("int"))
+            return F.transform(twice, place)
+
+        in_bits = let(F.sort_array(short), lambda s: candidates(s, lambda x: F.shiftright(x, _POSITION_BITS), lambda x: x.bitwiseAND(low).cast("int")))
+        beside = let(F.sort_array(long_), lambda s: candidates(s, lambda x: x["k"], lambda x: x["p"]))
 
         def confirmed(c: Column) -> Column:
             named = F.array_sort(F.transform(c, lambda p: F.struct(F.array(w[p], w[p + 1], w[p + 2]).alias("w"), p.alias("p"))))
@@ -54,7 +59,7 @@ def _repeated_words(words: Column) -> Column:
 
             return F.when(F.size(c) > 0, F.array_sort(let(named, kept))).otherwise(empty)
 
-        return let(let(F.sort_array(keyed), candidates), confirmed)
+        return let(F.when(F.size(h) <= low, in_bits).otherwise(beside), confirmed)
 
     start = F.struct(F.lit(0).cast("bigint").alias("end"), F.lit(0).cast("bigint").alias("n"))
     covered = lambda p: F.aggregate(p, start, lambda acc, x: F.struct((x + 3).alias("end"), (acc["n"] + x + 3 - F.greatest(x, acc["end"])).alias("n")), lambda acc: acc["n"])
@@ -210,7 +215,7 @@ def decide(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLE
     counted = written(statistics(docs, text, doc_id), "statistics")
     marks = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_q"))
     share = min(1.0, most_labelled / max(1, marks.count()))
-    marks = marks.where(F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    marks = marks.where(in_share(F.col("_id"), 1, share))
     f = F.struct(*[c.alias(n) for n, c in features().items()])
     taught = counted.where(~base_failed()).join(marks, counted["doc_id"] == F.col("_id"))
     taught = written(taught.select(f.alias("f"), (F.col("_q") == 0).cast("bigint").alias("bad"), F.pmod(F.xxhash64("_id", F.lit(2)), F.lit(3)).alias("part")), "taught")

@@ -1,9 +1,12 @@
+import subprocess
+import sys
 from random import Random
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from strataq.llm.common import id_remainder
+from strataq.llm import quality
 from strataq.llm.quality import N_FEATURES, Network, accepted, estimate_prior, fit, score_quality, text_features
 
 
@@ -88,3 +91,35 @@ def test_accepted_with_any_column_names_and_repeated_ids(spark):
     kept = {r.doc_id for r in got.where("h = 'x'").collect()}
     assert np.mean([(i in kept) == bool(truth[i]) for i in range(500)]) > 0.9
     assert accepted(df, marks.limit(0), F.lit(False)).count() == len(rows)
+
+
+def plain_features(t):
+    """The counts of words, triples and lines, with sets of them."""
+    words, lines = t.split(), [x for x in t.split("\n") if x and not x.isspace()]
+    w, m, triples = max(1, len(words)), max(1, len(lines)), set(zip(words, words[1:], words[2:], strict=False))
+    sizes = [len(x) for x in words] or [0]
+    return [np.log1p(len(t.encode())), np.log1p(len(words)), np.mean(sizes), np.std(sizes), max(sizes) / 100, len(set(words)) / w, sum(map(str.__eq__, words, words[1:])) / w, len(triples) / max(1, len(words) - 2), sum(map(str.isupper, words)) / w, len(set(lines)) / m]
+
+
+def test_features_in_parts(monkeypatch):
+    rng = Random(9)
+    texts = ["".join(rng.choices(["a", "B", "cd", "é", " ", "\n", "\t", "\u2003", " \n \n"], k=rng.randint(0, 400))) for _ in range(60)] + ["", " ", "x" * 300, "\n" * 50]
+    at = [0, 1, 15, 16, 17, 18, 19, 20, 21, 22]
+    whole = [text_features(t) for t in texts]
+    assert np.allclose([[x[i] for i in at] for x in whole], [plain_features(t) for t in texts])
+    monkeypatch.setattr(quality, "_PART", 32)
+    assert [text_features(t) for t in texts] == whole
+
+
+def test_a_very_long_text_is_read_in_bounded_memory():
+    code = """
+import resource
+from strataq.llm.quality import text_features
+t = " ".join(f"w{i * 7919 % 9999991} some of it" for i in range(5_500_000))
+assert len(t) > 100 << 20
+base = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+text_features(t)
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - base)
+"""
+    grown = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout)
+    assert grown < 1 << 20  # KB

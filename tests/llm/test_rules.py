@@ -4,6 +4,8 @@ from random import Random
 
 from pyspark.sql import functions as F
 
+from strataq.llm import rules
+from strataq.llm.common import in_share, share_bound
 from strataq.llm.rules import decide, statistics
 
 
@@ -48,3 +50,18 @@ def test_learns_a_list(spark):
     assert got[None].base_failed and not got[1000].kept
     plain = decide(df, marks.limit(0))
     assert plain.where(F.col("kept") == F.col("base_failed")).count() == 0 and decide(df.limit(0), marks).count() == 0
+
+
+def test_texts_of_more_places_than_bits(spark, monkeypatch):
+    monkeypatch.setattr(rules, "_POSITION_BITS", 4)
+    rng = Random(8)
+    texts = [" ".join(rng.choices("abc", k=n)) for n in (10, 15, 16, 17, 18, 40, 300)] + ["a b c d " * 100]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r.doc_id: tuple(r)[1:6] for r in statistics(df).collect()} == {i: brute(t) for i, t in enumerate(texts)}
+
+
+def test_small_shares_are_not_cut_to_nothing(spark):
+    assert share_bound(1e-9) + (1 << 63) == int(1e-9 * 2**64) > 0 and share_bound(0.0) == -(1 << 63) and share_bound(1.0) == (1 << 63) - 1
+    n = 4_000_000
+    found = spark.range(n).where(in_share(F.col("id"), 1, 1e-5)).count()  # a grain of 2^-20 would round this share up or down by a tenth
+    assert 10 < found < 90 and spark.range(50).where(in_share(F.col("id"), 1, 1.0)).count() == 50
