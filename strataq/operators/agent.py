@@ -12,12 +12,15 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strataq.sources import exists
+
 Client = Callable[[str, str], str]
 RESPONSE = "score int, question string"
+ANSWER = "request_id string, status string, body string, error string, attempt int"
 
 
 def stub_client(stage: str, payload: str) -> str:
@@ -65,8 +68,8 @@ def call(todo: DataFrame, client: Client = stub_client, tries: int = 1, wait: fl
 
 
 def latest(responses: DataFrame) -> DataFrame:
-    """One row a request: that of its last attempt."""
-    best = responses.groupBy("request_id").agg(F.max(F.struct("attempt", "status", "body", "error")).alias("r"))
+    """One row a request: its last answer that is done, else its last attempt."""
+    best = responses.groupBy("request_id").agg(F.max(F.struct(F.col("status") == "done", "attempt", "status", "body", "error")).alias("r"))
     return best.select("request_id", "r.status", "r.body", "r.error", "r.attempt")
 
 
@@ -75,21 +78,23 @@ def run_stage(spark: SparkSession, wanted: DataFrame, path: str, client: Client
 
     A rerun asks for nothing twice but what failed, and for that until `most_attempts`.
     """
-    try:
-        last = latest(spark.read.parquet(path))
+    todo = wanted
+    if exists(spark, path):
+        last = latest(spark.read.schema(ANSWER).parquet(path))
         counts = last.select("request_id", "attempt")
         todo = pending(wanted, last.where((F.col("status") == "done") | (F.col("attempt") >= most_attempts))).join(counts, "request_id", "left").fillna(0, ["attempt"])
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        todo = wanted
     call(todo, client, tries).write.mode("append").parquet(path)
-    return latest(spark.read.parquet(path))
+    return latest(spark.read.schema(ANSWER).parquet(path))
+
+
+def parsed_answer(body: Column) -> Column:
+    """score and question of an answer's body, null where it has none."""
+    return F.from_json(body, RESPONSE, {"mode": "PERMISSIVE"})
 
 
 def parsed(responses: DataFrame) -> DataFrame:
     """request_id, ok, score, question: malformed bodies are kept apart as not ok."""
-    r = F.from_json("body", RESPONSE, {"mode": "PERMISSIVE"})
+    r = parsed_answer(F.col("body"))
     return responses.select("request_id", r.alias("r")).select("request_id", F.coalesce(F.col("r.score").isNotNull(), F.lit(False)).alias("ok"), "r.score", "r.question")
 
 

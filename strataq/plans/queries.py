@@ -8,12 +8,12 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataq import streaming
 from strataq.functions import content_id, in_sample, normalised, only_letters
-from strataq.operators import agent, augment, difficulty, review, sync
+from strataq.operators import agent, augment, difficulty, loop, merge, reconcile, review, sync
 from strataq.sources import TABLES, load
 from strataq.sources.service import TableService
 
@@ -21,9 +21,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder where all executors write, gone when the driver ends; of this machine only where the session names none."""
+    """A new folder where all executors write, gone when the driver ends; of this machine only where a local session names none."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not hasattr(shared_folder, "own"):
             shared_folder.own = tempfile.mkdtemp(prefix="strataq-")
             atexit.register(shutil.rmtree, shared_folder.own, True)
@@ -81,13 +83,52 @@ def parsed_responses(spark: SparkSession, d: str) -> DataFrame:
     return agent.parsed(_answers(spark, d)).select("request_id", "ok", F.coalesce(F.col("score").cast("bigint"), F.lit(-1)).alias("score"), "question")
 
 
+_words = lambda text: F.regexp_count(text, F.lit("[^ \\t\\n\\r]+"))
+
+
+def settled_questions(spark: SparkSession, d: str) -> DataFrame:
+    """The loop over recorded answers: a conversation's first user turn is its question, its assistant turns are what came back, round by round.
+    Answers of 170 words are good, those under 60 hopeless, others are the next draft; a draft costs its words, of which there are 200."""
+    talk = load(spark, d, "conversations")
+    questions = talk.where("role = 'user'").groupBy(F.col("conv_id").cast("string").alias("question_id")).agg(F.min_by("text", "turn").alias("draft"))
+    number = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
+    answers = talk.where("role = 'assistant'").select(F.col("conv_id").cast("string").alias("question_id"), number.alias("round"), F.col("text").alias("body"))
+
+    def decide(body: Column, draft: Column) -> Column:
+        status = F.when(_words(body) >= 170, "accepted").when(_words(body) < 60, "given_up").otherwise("open")
+        return F.struct(status.alias("status"), F.when(status == "open", body).otherwise(draft).alias("draft"))
+
+    return loop.refine(spark, questions, f"{shared_folder(spark)}/loop", loop.recorded(answers), decide, _words, 200)
+
+
+_FIELDS = ("text_hash", "lang", "source")
+
+
+def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Local, remote and their last common version of documents: each side lacks, adds and edits other rows and fields."""
+    docs = load(spark, d, "documents").select("doc_id", F.md5("text").alias("text_hash"), "lang", "source")
+    edit = lambda df, field, every, value: df.withColumn(field, F.when(F.col("doc_id") % every == 0, value).otherwise(F.col(field)))
+    local = edit(edit(docs.where("doc_id % 13 <> 0"), "text_hash", 5, F.concat("text_hash", F.lit("l"))), "lang", 6, F.lit("xx"))
+    remote = edit(edit(docs.where("doc_id % 17 <> 0"), "text_hash", 10, F.concat("text_hash", F.lit("r"))), "source", 4, F.lit("moved"))
+    return local, remote, docs.where("doc_id % 11 <> 0")
+
+
+def reconciled_changes(spark: SparkSession, d: str) -> DataFrame:
+    """The change set of y1, by digests of ranges that both sides keep."""
+    current, previous = _versions(spark, d)
+    one, other = (f"{shared_folder(spark)}/side" for _ in range(2))
+    reconcile.keep(current, one)
+    reconcile.keep(previous, other)
+    return reconcile.reconciled(spark, one, other)
+
+
 def sent_changes(spark: SparkSession, d: str) -> DataFrame:
     """Change rows sent through the service in their batches and read back from it."""
     current, previous = _versions(spark, d)
     spark.dataSource.register(TableService)
     path = shared_folder(spark)
     sync.send(sync.batches(sync.changes(current, previous)), path)
-    return spark.read.format("table_service").option("path", path).load()
+    return spark.read.format("table_service").option("path", path).load().select("doc_id", "op", "content_hash")
 
 
 def pulled_snapshot(spark: SparkSession, d: str) -> DataFrame:
@@ -156,6 +197,7 @@ QUERIES: dict[str, Query] = {
     "g3_pending": pending_requests,
     "g4_responses": response_status,
     "g5_parsed": parsed_responses,
+    "g6_settled_questions": settled_questions,
     "a1_variants": _of_pairs(lambda x: augment.variants(x).select("question_id", "parent_id", "variant_no", "kind")),
     "a2_transforms": _of_pairs(lambda x: augment.variants(x).select("question_id", "question")),
     "a3_lineage": _of_pairs(augment.with_lineage),
@@ -166,6 +208,9 @@ QUERIES: dict[str, Query] = {
     "y4_incremental": incremental_events,
     "y5_next_snapshot": next_snapshot,
     "y6_pulled": pulled_snapshot,
+    "y7_merged": lambda spark, d: merge.merged(*_sides(spark, d), "doc_id", _FIELDS),
+    "y8_merge_conflicts": lambda spark, d: merge.conflicts(*_sides(spark, d), "doc_id", _FIELDS).where("field <> '*'"),
+    "y9_reconciled": reconciled_changes,
     "e1_event_windows": _on(streaming.event_windows, "events"),
     "e1_sessions": _on(streaming.sessions, "events"),
 }
@@ -182,6 +227,12 @@ _VERSIONS = """cur AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN text || ' (e
     ch AS (SELECT * FROM (SELECT coalesce(c.doc_id, p.doc_id) AS doc_id,
         CASE WHEN p.doc_id IS NULL THEN 'insert' WHEN c.doc_id IS NULL THEN 'delete' WHEN md5(c.text) <> md5(p.text) THEN 'update' END AS op,
         coalesce(md5(c.text), md5(p.text)) AS content_hash FROM cur c FULL JOIN prev p ON c.doc_id = p.doc_id) WHERE op IS NOT NULL)"""
+_SIDES = """docs AS (SELECT doc_id, md5(text) AS text_hash, lang, source FROM documents),
+    loc AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN text_hash || 'l' ELSE text_hash END AS text_hash, CASE WHEN doc_id % 6 = 0 THEN 'xx' ELSE lang END AS lang, source FROM docs WHERE doc_id % 13 <> 0),
+    rem AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN text_hash || 'r' ELSE text_hash END AS text_hash, lang, CASE WHEN doc_id % 4 = 0 THEN 'moved' ELSE source END AS source FROM docs WHERE doc_id % 17 <> 0),
+    base AS (SELECT * FROM docs WHERE doc_id % 11 <> 0)"""
+_LOOP_WORDS = "len(regexp_extract_all({0}, '[^ \\t\\n\\r]+'))".format
+_OVER = f"s.spent + {_LOOP_WORDS('s.draft')} > 200"
 _REQ = f"""{_PAIRS}, req AS (SELECT DISTINCT md5(concat_ws('|', 'difficulty', '1', md5(question))) AS request_id, 'difficulty' AS stage, question AS payload FROM pairs),
     ans AS (SELECT request_id, CAST('0x' || substr(md5(stage || '|' || payload), 1, 8) AS BIGINT) AS h FROM req)"""
 _VARIANTS = f"""{_PAIRS}, var AS (SELECT question_id AS parent_id, unnest([{{'variant_no': 1::BIGINT, 'kind': 'lower', 'question': lower(question)}}, {{'variant_no': 2::BIGINT, 'kind': 'plain', 'question': {_N("question")}}},
@@ -230,17 +281,30 @@ ORACLES: dict[str, str] = {
     "g3_pending": f"WITH {_REQ} SELECT request_id FROM req WHERE NOT substr(md5(request_id), 1, 4) < '8000'",
     "g4_responses": f"""WITH {_REQ} SELECT request_id, 'done' AS status, CASE WHEN h % 13 = 0 THEN 'sorry' ELSE '{{"score": ' || (h % 100) || ', "question": "Q' || (h % 1000) || '"}}' END AS body FROM ans""",
     "g5_parsed": f"WITH {_REQ} SELECT request_id, h % 13 <> 0 AS ok, CASE WHEN h % 13 <> 0 THEN h % 100 ELSE -1 END AS score, CASE WHEN h % 13 <> 0 THEN 'Q' || (h % 1000) END AS question FROM ans",
+    "g6_settled_questions": f"""WITH RECURSIVE a AS (SELECT conv_id, text AS body, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS round FROM conversations WHERE role = 'assistant'),
+        s AS (SELECT conv_id, min_by(text, turn) AS draft, 0 AS rounds, 0::BIGINT AS spent, 'open' AS status FROM conversations WHERE role = 'user' GROUP BY conv_id
+          UNION ALL SELECT s.conv_id, CASE WHEN {_OVER} OR NOT {_LOOP_WORDS('a.body')} BETWEEN 60 AND 169 THEN s.draft ELSE coalesce(a.body, s.draft) END, CASE WHEN {_OVER} THEN s.rounds ELSE s.rounds + 1 END,
+            CASE WHEN {_OVER} THEN s.spent ELSE s.spent + {_LOOP_WORDS('s.draft')} END,
+            CASE WHEN {_OVER} THEN 'over_budget' WHEN a.body IS NULL THEN 'unanswered' WHEN {_LOOP_WORDS('a.body')} >= 170 THEN 'accepted' WHEN {_LOOP_WORDS('a.body')} < 60 THEN 'given_up' ELSE 'open' END
+          FROM s LEFT JOIN a ON a.conv_id = s.conv_id AND a.round = s.rounds + 1 WHERE s.status = 'open' AND s.rounds < 8)
+        SELECT CAST(conv_id AS VARCHAR) AS question_id, status, rounds, spent, draft FROM s QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY status <> 'open' DESC, rounds DESC) = 1""",
     "a1_variants": f"WITH {_VARIANTS} SELECT question_id, parent_id, variant_no, kind FROM made",
     "a2_transforms": f"WITH {_VARIANTS} SELECT question_id, question FROM made",
     "a3_lineage": f"WITH {_VARIANTS} SELECT * FROM fam",
     "a4_split": f"WITH {_VARIANTS} SELECT question_id, CASE WHEN substr(md5(coalesce(parent_id, question_id)), 1, 4) < '199a' THEN 'test' ELSE 'train' END AS part FROM fam",
     "y1_changes": f"WITH {_VERSIONS} SELECT * FROM ch",
-    "y2_batches": f"WITH {_VERSIONS}, l AS (SELECT *, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 4) AS BIGINT) % 16 AS lane FROM ch) SELECT *, (row_number() OVER (PARTITION BY lane ORDER BY doc_id) - 1) // 100 AS batch_no FROM l",
+    "y2_batches": f"WITH {_VERSIONS}, l AS (SELECT *, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 12) AS BIGINT) % (SELECT greatest(1, CAST(ceil(count(*) / 10000) AS BIGINT)) FROM ch) AS lane FROM ch) SELECT *, (row_number() OVER (PARTITION BY lane ORDER BY doc_id) - 1) // 100 AS batch_no FROM l",
     "y3_sent_changes": f"WITH {_VERSIONS} SELECT * FROM ch",
     "y4_incremental": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
     "y5_next_snapshot": f"WITH {_VERSIONS} SELECT doc_id, md5(text) AS content_hash FROM cur",
     "y6_pulled": f"""WITH {_VERSIONS} SELECT p.doc_id, md5(p.text) AS content_hash, CASE WHEN c.doc_id IS NULL THEN 'insert' WHEN md5(c.text) = md5(p.text) THEN 'same' ELSE 'update' END AS op
         FROM prev p LEFT JOIN cur c ON c.doc_id = p.doc_id""",
+    "y7_merged": f"""WITH {_SIDES} SELECT coalesce(l.doc_id, r.doc_id) AS doc_id, CASE WHEN r.doc_id IS NULL THEN l.text_hash WHEN l.doc_id IS NULL OR b.doc_id IS NULL OR r.text_hash <> b.text_hash THEN r.text_hash ELSE l.text_hash END AS text_hash, CASE WHEN r.doc_id IS NULL THEN l.lang WHEN l.doc_id IS NULL OR b.doc_id IS NULL OR r.lang <> b.lang THEN r.lang ELSE l.lang END AS lang, CASE WHEN r.doc_id IS NULL THEN l.source WHEN l.doc_id IS NULL OR b.doc_id IS NULL OR r.source <> b.source THEN r.source ELSE l.source END AS source
+        FROM loc l FULL JOIN rem r USING (doc_id) LEFT JOIN base b ON b.doc_id = coalesce(l.doc_id, r.doc_id) WHERE NOT coalesce((l.doc_id IS NULL AND b.doc_id IS NOT NULL AND (r.text_hash, r.lang, r.source) = (b.text_hash, b.lang, b.source)) OR (r.doc_id IS NULL AND b.doc_id IS NOT NULL AND (l.text_hash, l.lang, l.source) = (b.text_hash, b.lang, b.source)), false)""",
+    "y8_merge_conflicts": f"""WITH {_SIDES}, j AS (SELECT l.doc_id, unnest([{{'field': 'text_hash', 'b': b.text_hash, 'l': l.text_hash, 'r': r.text_hash}}, {{'field': 'lang', 'b': b.lang, 'l': l.lang, 'r': r.lang}}, {{'field': 'source', 'b': b.source, 'l': l.source, 'r': r.source}}]) AS c
+          FROM loc l JOIN rem r USING (doc_id) LEFT JOIN base b USING (doc_id))
+        SELECT doc_id, c.field AS field, c.b AS base_value, c.l AS local_value, c.r AS remote_value FROM j WHERE c.l <> c.r AND c.l IS DISTINCT FROM c.b AND c.r IS DISTINCT FROM c.b""",
+    "y9_reconciled": f"WITH {_VERSIONS} SELECT * FROM ch",
     "e1_event_windows": "SELECT time_bucket(INTERVAL 1 day, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
     "e1_sessions": """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 minutes THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
         s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM g) SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, k""",

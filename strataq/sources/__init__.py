@@ -1,5 +1,5 @@
 """Tables and the stand-in table service."""
 
-from .tables import TABLES, load
+from .tables import TABLES, complete, exists, load
 
-__all__ = ["TABLES", "load"]
+__all__ = ["TABLES", "complete", "exists", "load"]

@@ -11,3 +11,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"no table {name}")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in any store that Spark reads."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end at `path`."""
+    return exists(spark, f"{path}/_SUCCESS")

@@ -7,8 +7,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from strataq.functions import normalised
-from strataq.operators import agent, augment, difficulty, review, sync
-from strataq.sources.service import TableReader, TableService, TableWriter
+from strataq.operators import agent, augment, difficulty, loop, review, sync
+from strataq.sources.service import Sent, TableReader, TableService, TableWriter
 from strataq.streaming import event_windows, incremental
 
 
@@ -101,51 +101,106 @@ def test_families_stay_together(spark):
     assert family.select("question_id").distinct().count() == 1500
 
 
-def test_service_batches(tmp_path):
-    path = str(tmp_path / "remote")
-    writer = TableWriter(path, ["doc_id", "op"])
-    first = writer.write(iter([{"doc_id": 1, "op": "insert"}, {"doc_id": 2, "op": "delete"}]))
-    assert writer.write(iter([{"doc_id": 1, "op": "insert"}, {"doc_id": 2, "op": "delete"}])).names == first.names
-    lost = writer.write(iter([{"doc_id": 3, "op": "insert"}]))
-    writer.abort([lost, None])
-    writer.commit([first, writer.write(iter([]))])
-    reader = TableReader(path, ["doc_id", "op"])
-    assert [r for p in reader.partitions() for r in reader.read(p)] == [(1, "insert"), (2, "delete")]
+ROW = "doc_id bigint, op string, content_hash string"
 
 
-def test_service_keeps_what_was_sent_before(spark, tmp_path):
-    path = str(tmp_path / "remote")
+def read_service(spark, path):
+    spark.dataSource.register(TableService)
+    return [tuple(r)[:2] for r in spark.read.format("table_service").option("path", path).load().orderBy("write_no", "row_no").collect()]
+
+
+def send_rows(spark, path, rows, mode="append", **options):
     spark.dataSource.register(TableService)
-    rows = lambda *ids: spark.createDataFrame([(i, "insert", "x") for i in ids], "doc_id bigint, op string, content_hash string").coalesce(1)
-    send = lambda df, mode: df.write.format("table_service").option("path", path).mode(mode).save()
-    read = lambda: sorted(r.doc_id for r in spark.read.format("table_service").option("path", path).load().collect())
-    send(rows(1, 2), "append")
-    send(rows(3), "append")
-    send(rows(3), "append")  # again: changes nothing
-    assert read() == [1, 2, 3]
-    writer = TableWriter(path, ["doc_id", "op", "content_hash"])
-    writer.abort([writer.write(iter([{"doc_id": 3, "op": "insert", "content_hash": "x"}]))])
-    assert read() == [1, 2, 3]
-    send(rows(4), "overwrite")
-    assert read() == [4]
-
-
-def test_batches_are_requests_of_bounded_size(spark, tmp_path):
+    df = spark.createDataFrame([(*r, "x") for r in rows], ROW).coalesce(1)
+    df.write.format("table_service").option("path", path).options(**options).mode(mode).save()
+
+
+def test_what_is_sent_again_counts_again_and_in_order(spark, tmp_path):
+    path = str(tmp_path / "remote")
+    assert read_service(spark, path) == []
+    changes = [(1, "insert"), (1, "delete"), (1, "insert")]
+    for c in changes:
+        send_rows(spark, path, [c])
+    assert read_service(spark, path) == changes
+    for _ in range(2):  # one write under one name
+        send_rows(spark, path, [(2, "insert")], write_id="week 1")
+    assert read_service(spark, path) == [*changes, (2, "insert")]
+    send_rows(spark, path, [(4, "insert"), (5, "insert"), (3, "insert")], "overwrite")
+    send_rows(spark, path, [(6, "insert")])
+    assert read_service(spark, path) == [(4, "insert"), (5, "insert"), (3, "insert"), (6, "insert")]
+
+
+def test_abort_takes_only_its_own(spark, tmp_path):
+    path = str(tmp_path / "remote")
+    row = {"doc_id": 3, "op": "insert", "content_hash": "x"}
+    one, two = (TableWriter(path, list(row)) for _ in range(2))
+    a, b = one.write(iter([row])), two.write(iter([row]))  # the same batch by two writers at once
+    one.abort([a, None])
+    two.commit([b])
+    two.abort([b])  # too late: it counts
+    TableWriter(path, list(row)).abort([])
+    assert read_service(spark, path) == [(3, "insert")]
+
+
+def test_batches_are_requests_of_bounded_size_and_tasks_take_many(spark, tmp_path):
     path = f"file://{tmp_path}/remote"
     spark.dataSource.register(TableService)
-    rows = spark.createDataFrame([(i, "insert", "x") for i in range(250)], "doc_id bigint, op string, content_hash string")
-    sync.send(sync.batches(rows, size=40, lanes=3), path)
-    sent = lambda: [p.value for p in TableReader(path, []).partitions()]
-    names = sent()
-    assert len(names) >= 7
-    for _ in range(2):  # the second time nothing changes
-        got = spark.read.format("table_service").option("path", path).load()
-        assert sorted(r.doc_id for r in got.collect()) == list(range(250))
-        sync.send(sync.batches(rows, size=40, lanes=3), path)
-    assert sent() == names
-    same = TableWriter(path, ["doc_id"], most_rows=2)  # equal rows in several requests of a task
-    same.commit([same.write(iter([{"doc_id": 1000}] * 5))])
-    assert spark.read.format("table_service").option("path", path).load().where("doc_id = 1000").count() == 5
+    rows = spark.createDataFrame([(i, "insert", "x") for i in range(250)], ROW)
+    for _ in range(2):
+        sync.send(sync.batches(rows, size=40, lanes=3), path, write_id="first")
+    files = list((tmp_path / "remote/writes").glob("*/*.jsonl"))
+    assert len(files) >= 7 and sorted(i for i, _ in read_service(spark, path)) == list(range(250))
+    assert sync.batches(rows, rows_a_lane=100).select("lane").distinct().count() == 3
+    small = TableWriter(path, ["doc_id"], most_rows=1)  # 100,000 requests
+    small.commit([Sent(part, 0, 1000, 1000) for part in range(100)])
+    parts = TableReader(path, []).partitions()
+    assert len(parts) <= 4 and sum(end - at for p in parts for _, _, _, at, end in p.value) == 100_000 + len(files)
+    big = TableWriter(str(tmp_path / "big"), ["doc_id"])
+    big.commit([Sent(0, 0, 900, 900_000)])  # one task of many files is read by many
+    assert len(TableReader(str(tmp_path / "big"), []).partitions()) >= 15
+
+
+def test_a_done_answer_beats_a_failed_one(spark):
+    rows = [("a", "done", "x", None, 1), ("a", "failed", None, "e", 1), ("a", "failed", None, "e", 2), ("b", "failed", None, "e", 1), ("b", "failed", None, "f", 2)]
+    got = {r.request_id: r for r in agent.latest(spark.createDataFrame(rows, agent.ANSWER)).collect()}
+    assert got["a"].body == "x" and got["b"].error == "f"
+
+
+def test_refine_settles_each_question(spark, tmp_path):
+    """accepted, given up, revised, unreadable, unanswered and over budget, with what each was charged."""
+    questions = spark.createDataFrame([(q, q + " draft") for q in ("good", "bad", "slow", "odd", "mute", "dear", "long")] + [("none", None)], "question_id string, draft string")
+    says = lambda score, q="next one": f'{{"score": {score}, "question": "{q}"}}'
+    answers = [("good", 1, says(90)), ("bad", 1, says(3)), ("slow", 1, says(50)), ("slow", 2, says(70)), ("odd", 1, "sorry"), ("odd", 2, says(99)), ("dear", 1, says(50, "one two three four five six seven")), ("none", 1, says(80))]
+    answers += [("long", i, says(50, "x")) for i in range(1, 9)]
+    ask = loop.recorded(spark.createDataFrame(answers, "question_id string, round int, body string"))
+    words = lambda t: F.size(F.split(t, " "))
+    got = {r.question_id: tuple(r)[1:] for r in loop.refine(spark, questions, str(tmp_path / "run"), ask, loop.by_score(), words, 8, 4).collect()}
+    assert got == {
+        "good": ("accepted", 1, 2, "good draft"), "bad": ("given_up", 1, 2, "bad draft"), "slow": ("accepted", 2, 4, "next one"), "odd": ("accepted", 2, 4, "odd draft"),
+        "mute": ("unanswered", 1, 2, "mute draft"), "dear": ("over_budget", 1, 2, "one two three four five six seven"), "long": ("open", 4, 5, "x"), "none": ("accepted", 1, 1, ""),
+    }
+
+
+def test_refine_goes_on_after_a_kill_and_never_exceeds_its_ledger(spark, tmp_path):
+    path, calls = str(tmp_path / "run"), []
+    questions = spark.createDataFrame([(f"q{i}", "a b") for i in range(30)], "question_id string, draft string")
+
+    def ask(asked):
+        rows = asked.collect()
+        calls.extend(r.request_id for r in rows)
+        if len(calls) in (30, 90):  # killed after the calls, before any answer was kept
+            raise RuntimeError("killed")
+        return spark.createDataFrame([(r.request_id, '{"score": 50, "question": "a b"}') for r in rows], "request_id string, body string")
+
+    run = lambda: loop.refine(spark, questions, path, ask, loop.by_score(), lambda t: F.lit(2), 12, 5, total=290)
+    for _ in range(2):
+        with pytest.raises(RuntimeError):
+            run()
+    last = run()
+    charged = spark.read.parquet(f"{path}/ledger").agg(F.sum("price")).first()[0]
+    assert 2 * len(calls) <= charged == 290 and {r.spent for r in last.collect()} == {10, 8}
+    n = len(calls)
+    assert sorted(map(tuple, run().collect())) == sorted(map(tuple, last.collect())) and len(calls) == n
 
 
 def test_null_content_is_not_empty(spark):
