@@ -27,6 +27,8 @@ _MEMO = 800_000  # entries a worker keeps; words beyond are encoded each time
 _CHUNK, _WORDS = 1 << 24, 1 << 20  # bytes of text and words that are looked up at once
 #: Words of all classes that pieces must give the same ids as the tokenizer does.
 _PROBES = ("plain", "Über-Größe,", "don't", "they'll've", "a1b22c", "x--y__z", "ÀÖØöøÿ", "'tis", "(end).", "#%&", "1234567", "ß")
+#: Texts whose ids must be those of their words.
+_SPACED = ("plain words here", " a  b\n\nc\td ", "Ünder, the\r\nsea. 12 3")
 
 
 class _ByteChars(dict):
@@ -58,7 +60,7 @@ _LATIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch  # composed, and lower-c
 class WordIds(dict):
     """Ids of a white-space separated word as little-endian 16 or 32-bit numbers, remembered.
 
-    The tokenizer splits at white space and never looks across it, so a text's ids are its
+    The tokenizer must split at white space, drop it and never look across it (another one is refused), so a text's ids are its
     words' ids joined. Of the lower-casing tokenizer (`by_piece`) words are lower-cased first, and
     those of plain Latin characters are put together from pieces that go to the BPE model directly;
     a word list checks that on loading.
@@ -71,6 +73,8 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.chars = self.tokenizer.model, _ByteChars()
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        if any(self.encoded(t) != b"".join(map(self.encoded, t.split())) for t in _SPACED):
+            raise ValueError(f"{path} doesn't drop white space: its ids of a text aren't those of the text's words")
         self.pieces: dict[str, bytes] = {}
         self.by_piece = _splits_at_space_and_lowers(self.tokenizer) and all(self.from_pieces(w) == self.encoded(w) for w in _PROBES)
 

@@ -166,10 +166,10 @@ ORACLES: dict[str, str] = {
           JOIN p ON d.source IS NOT DISTINCT FROM p.source AND d.k = p.k AND d.doc_id IS NOT DISTINCT FROM p.doc_id""",
     "op10_top_k": """
         WITH v AS MATERIALIZED (SELECT row_number() OVER () AS key, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-                   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
-        s AS (SELECT q.key, q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+                   WHERE embedding IS NOT NULL AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)),
+        s AS (SELECT q.key, q.vec_id AS query_id, c.vec_id, CAST(coalesce(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])), 0) AS BIGINT) AS score
               FROM v q JOIN v c ON q.key <> c.key AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0)
-        SELECT query_id, CAST(row_number() OVER (PARTITION BY key ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY key ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank, vec_id, score
         FROM s QUALIFY rank <= 10""",
     "op12_url_verdicts": r"""
         WITH RECURSIVE p AS (SELECT page_id, html, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,

@@ -52,7 +52,7 @@ def read_lists(x: np.ndarray, q: np.ndarray, alive: np.ndarray, k: int, steps: t
 
 
 def nra_block(keys: np.ndarray, ids: np.ndarray, rows: np.ndarray, query_keys: np.ndarray, queries: np.ndarray, k: int, steps: tuple[float, ...] = STEPS) -> list[tuple[int, int, int]]:
-    """(query's key, vec_id, score) of each query's k best rows here, ties to smaller ids. Whole numbers as doubles; keys name rows."""
+    """(query's key, row's key, score) of each query's k best rows here, ties to smaller ids. Whole numbers as doubles; keys name rows."""
     n = len(ids)
     out: list[tuple[int, int, int]] = []
     if not n or not len(query_keys):
@@ -69,29 +69,30 @@ def nra_block(keys: np.ndarray, ids: np.ndarray, rows: np.ndarray, query_keys: n
         if not exact:
             scores = np.array([min(_MOST, max(_LEAST, s)) for s in scores], np.int64)
         order = np.lexsort((ids[left], -scores if exact else ~scores))[:k]
-        out += [(key, int(ids[left[j]]), int(scores[j])) for j in order]
+        out += [(key, int(keys[left[j]]), int(scores[j])) for j in order]
     return out
 
 
 def whole_components(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = 1024) -> DataFrame:
     """key (names the row), vec_id, v: floor(scale * x) of each component, as a double; only vectors of finite components.
 
-    Null and empty vectors and null ids take no part, nor vectors whose scaled components are
-    beyond doubles. Repeated ids are rows of their own. Other columns don't matter.
+    Null vectors and those that hold null or non-finite components take no part, nor those whose scaled
+    components are beyond doubles; empty vectors do, and score 0 with each other. Repeated and null ids are
+    rows of their own. Other columns don't matter.
     """
     x = F.col(f"`{embedding}`")
     scaled = lambda c: F.lit(float(scale)) * c.cast("double")
-    finite = F.coalesce(F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(scaled(c)) < float("inf"))), F.lit(False)) & (F.size(x) > 0)
+    finite = F.coalesce(F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(scaled(c)) < float("inf"))), F.lit(False))
     whole = F.transform(x, lambda c: F.when(F.abs(scaled(c)) < float(1 << 53), F.floor(scaled(c)).cast("double")).otherwise(scaled(c)))
-    rows = vectors.where(finite & F.col(f"`{vec_id}`").isNotNull())
-    return rows.select(F.monotonically_increasing_id().alias("key"), F.col(f"`{vec_id}`").cast("bigint").alias("vec_id"), whole.alias("v"))
+    return vectors.where(finite).select(F.monotonically_increasing_id().alias("key"), F.col(f"`{vec_id}`").cast("bigint").alias("vec_id"), whole.alias("v"))
 
 
 def top_k(queries: DataFrame, rows: DataFrame, k: int = 10, query_block: int = 1024, row_block: int = 4096) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k best rows by inner product, the query's own row left out.
 
     Both sides: key, vec_id, v, as `whole_components` has them, written before (a key must not
-    change). Other rows of the query's id are candidates; each row of a repeated id asks for itself.
+    change). Other rows of the query's id are candidates; each row of a repeated id asks for itself. Rows
+    without an id are candidates too, and come last among equal scores.
     Scores beyond 64 bits count as the nearest long. Queries and rows are hashed to blocks of
     bounded size, every query block meets every row block in a task of its own, and the k best
     of each block meet in a ranking of k rows a block. So rows are sent once a query block: the
@@ -103,17 +104,19 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 10, query_block: int = 1
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = queries.select("key", "vec_id", "v", F.size("v").alias("dim"), block_of(qb).alias("qb"), every(rb).alias("rb"))
     # both sides may come from one table: new names keep the cogroup from taking its columns for the same
-    right = rows.select(*[F.col(c).alias(f"row_{c}") for c in ("key", "vec_id", "v")], F.size("v").alias("dim"), block_of(rb).alias("rb"), every(qb).alias("qb"))
-    columns = ["query_key", "query_id", "vec_id", "score"]
+    no_id = F.col("vec_id").isNull().cast("bigint")  # such a row has the greatest id in a block
+    right = rows.select(F.col("key").alias("row_key"), F.coalesce("vec_id", F.lit(_MOST)).alias("row_vec_id"), F.col("v").alias("row_v"), no_id.alias("no_id"), F.size("v").alias("dim"), block_of(rb).alias("rb"), every(qb).alias("qb"))
+    columns = ["query_key", "query_id", "vec_id", "no_id", "score"]
 
     def block(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(r):
             return pd.DataFrame({c: [] for c in columns}).astype("int64")
-        found = nra_block(r["row_key"].to_numpy(), r["row_vec_id"].to_numpy(), np.stack(r["row_v"].to_list()), q["key"].to_numpy(), np.stack(q["v"].to_list()), k)
-        ids = dict(zip(q["key"].tolist(), q["vec_id"].tolist(), strict=True))
-        return pd.DataFrame([(key, ids[key], vec_id, score) for key, vec_id, score in found], columns=columns).astype("int64")
+        keys = r["row_key"].to_numpy()
+        found = nra_block(keys, r["row_vec_id"].to_numpy(), np.stack(r["row_v"].to_list()), q["key"].to_numpy(), np.stack(q["v"].to_list()), k)
+        ids, row_ids = dict(zip(q["key"].tolist(), q["vec_id"].tolist(), strict=True)), dict(zip(keys.tolist(), zip(r["row_vec_id"].tolist(), r["no_id"].tolist(), strict=True), strict=True))
+        return pd.DataFrame([(key, ids[key], *row_ids[row], score) for key, row, score in found], columns=columns).astype("int64")
 
     block_keys = ["qb", "rb", "dim"]
     best = left.groupBy(*block_keys).cogroup(right.groupBy(*block_keys)).applyInPandas(block, ", ".join(f"{c} bigint" for c in columns))
-    rank = F.row_number().over(Window.partitionBy("query_key").orderBy(F.col("score").desc(), "vec_id"))
-    return best.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+    rank = F.row_number().over(Window.partitionBy("query_key").orderBy(F.col("score").desc(), "no_id", "vec_id"))
+    return best.select("query_id", rank.alias("rank"), F.when(F.col("no_id") == 0, F.col("vec_id")).alias("vec_id"), "score").where(F.col("rank") <= k)

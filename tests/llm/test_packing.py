@@ -27,6 +27,11 @@ def test_ids_as_the_tokenizer():
         assert ids.tolist() == own.encode(t or "", add_special_tokens=False).ids, t
 
 
+def test_a_tokenizer_that_keeps_white_space_is_refused():
+    with pytest.raises(ValueError, match="white space"):
+        WordIds(public.path("byte_bpe_50k.json"))
+
+
 def test_ids_in_parts(monkeypatch):
     from strataq.llm import packing
 
