@@ -14,14 +14,21 @@ def text_features(docs: DataFrame) -> DataFrame:
 
 
 def relative_bands(turns: DataFrame, bands: int = 5) -> DataFrame:
-    """Band (ntile) and percent rank of each turn by length within its role; windows span one length of a role, or its table of lengths."""
-    given = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce(F.length("text"), F.lit(-1)).alias("size"))
+    """Band (ntile) and percent rank of each turn by length within its role; a null role is one of its own, a null text shorter than any.
+
+    Windows span a role's table of lengths, one length's table of ranges of conversations, or the turns of one length in one range.
+    """
+    role = F.coalesce(F.concat(F.lit("="), F.col("role")), F.lit(""))
+    given = turns.select("conv_id", "turn", role.alias("role"), F.coalesce(F.length("text"), F.lit(-1)).alias("size"), F.coalesce(F.floor(F.col("conv_id") / 4096), F.lit(-(1 << 62))).alias("range"))
     # a row's place is that of its length, by prefix sums over counts, and its place among equal lengths
     counts = given.groupBy("role", "size").agg(F.count(F.lit(1)).alias("n"))
     role = Window.partitionBy("role")
     starts = counts.select("role", "size", (F.sum("n").over(role.orderBy("size")) - F.col("n")).alias("start"), F.sum("n").over(role).alias("all"))
-    at = F.col("start") + F.row_number().over(Window.partitionBy("role", "size").orderBy("conv_id", "turn")) - 1
-    placed = given.join(starts, ["role", "size"]).withColumn("at", at)
+    pieces = given.groupBy("role", "size", "range").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("role", "size").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select("role", "size", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    at = F.col("start") + F.col("before") + F.row_number().over(Window.partitionBy("role", "size", "range").orderBy("conv_id", "turn")) - 1
+    placed = given.join(pieces, ["role", "size", "range"]).join(starts, ["role", "size"]).withColumn("at", at)
     least, more = F.floor(F.col("all") / bands), F.col("all") % bands  # the first bands have one row more
     wide = more * (least + 1)
     band = F.when(F.col("at") < wide, F.floor(F.col("at") / (least + 1))).otherwise(more + F.floor((F.col("at") - wide) / F.greatest(least, F.lit(1))))
@@ -55,25 +62,33 @@ def neighbours(queries: DataFrame, rows: DataFrame, k: int = 5, block: int = 409
 
     Queries and rows (vec_id, embedding) are hashed to blocks of bounded size; each block of queries
     meets each of rows in a task of its own, and k rows a block meet in the ranking. A vector is
-    compared with those of its length, but not with rows of its own id; null and zero vectors take no part.
+    compared with those of its length, but not with rows of its own id; null and zero vectors and those with
+    null or non-finite components take no part. Vectors are scaled by their largest component, so none is too small or large.
     """
     n = lambda df: max(1, -(-df.count() // block))
     qb, rb = n(queries), n(rows)
-    usable = lambda df: df.where("vec_id is not null and size(embedding) > 0 and exists(embedding, x -> x <> 0) and forall(embedding, x -> x is not null)")
+    usable = lambda df: df.where("vec_id is not null and size(embedding) > 0 and exists(embedding, x -> x <> 0) and coalesce(forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('inf')), false)")
     home = lambda count: F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     left = usable(queries).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"), F.size("embedding").alias("dim"), home(qb).alias("qb"), every(rb).alias("rb"))
     right = usable(rows).select(F.col("vec_id").alias("row_id"), F.col("embedding").alias("v"), F.size("embedding").alias("dim"), home(rb).alias("rb"), every(qb).alias("qb"))
 
+    def unit(v: np.ndarray) -> np.ndarray:
+        v = v / np.abs(v).max(axis=1, keepdims=True)
+        return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
+
     def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(a) and len(b):
-            x, y = (np.stack(list(c)).astype(np.float64) for c in (a["q"], b["v"]))
+            x, y = (unit(np.stack(list(c)).astype(np.float64)) for c in (a["q"], b["v"]))
             ids = b["row_id"].to_numpy()
             for i, query in enumerate(a["query_id"].tolist()):
-                likeness = np.round((y @ x[i]) / np.sqrt((x[i] @ x[i]) * (y * y).sum(axis=1)), 5)
-                order = np.lexsort((ids, -likeness))
-                out += [(query, int(ids[j]), float(likeness[j])) for j in order[ids[order] != query][:k]]
+                others = np.flatnonzero(ids != query)
+                likeness = np.round(y[others] @ x[i], 5)
+                if len(others) > k:  # all that tie with the last stay
+                    near = likeness >= np.partition(likeness, -k)[-k]
+                    others, likeness = others[near], likeness[near]
+                out += [(query, int(ids[others[j]]), float(likeness[j])) for j in np.lexsort((ids[others], -likeness))[:k]]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "likeness"]).astype({"query_id": "int64", "vec_id": "int64", "likeness": "float64"})
 
     keys = ["qb", "rb", "dim"]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataq.functions import content_id, normalised, only_letters, window_hashes, words
+from strataq.sources import written
 
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
 
@@ -40,7 +41,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 5) -> DataFrame
     An item's inner words are whole words of any text that holds it, so one window of up to n of
     them (the least hash) is looked up among the document's windows of that size; only ids are
     joined, and only the texts of hits are fetched and searched. Items of one or two words have no
-    inner word and are searched in every document.
+    inner word and are searched in every document. An empty or null item is none.
     """
     tokens = F.split(F.col("text"), r"[ \t\n\r]+")
     items = benchmark.select("item_id", F.col("text").alias("item"), tokens.alias("t")).withColumn("m", F.least(F.size("t") - 2, F.lit(n)))
@@ -55,35 +56,50 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 5) -> DataFrame
     return found.unionByName(anywhere).distinct()
 
 
+_WORDS_OF_BITS, _GROUP = 8, 4096
+
+
 def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, class_id, n_links: exact similarity of n-word windows, `percent` or more.
 
     Documents of one window set are a class, named by its least id. Classes are linked by a
     prefix filter: windows are ordered by how few classes hold them, and two sets that are alike
     share one of their first size - ceil(percent * size / 100) + 1 windows; where they first do, both
-    must still have room for the overlap that they need, and they are of neighbouring size bins. n_links
-    counts the other classes alike. Documents under n words are classes of their own text, without links.
+    must still have room for the overlap that they need, and they are of neighbouring size bins. Then
+    the parities of both sets, 512 bits by window, are compared: they differ in no more bits than
+    the sets in windows, so no pair alike is lost, and few others are left whose sets are fetched.
+    Windows that many classes hold are joined in groups. n_links counts the other classes alike. Documents under
+    n words are classes of their own text, without links; null texts are one class.
     """
     tokens = words(only_letters(F.col("text")))
-    sets = docs.select("doc_id", F.array_sort(window_hashes(tokens, n)).alias("items"), F.md5("text").alias("_text"))
-    named = sets.withColumn("set_id", F.when(F.size("items") > 0, F.md5(F.concat_ws(",", F.col("items").cast("array<string>")))).otherwise(F.concat(F.lit("text "), F.col("_text"))))
-    classes = named.groupBy("set_id").agg(F.min("doc_id").alias("class_id"), F.first("items").alias("items"), F.size(F.first("items")).alias("size"))
+    sets = docs.select("doc_id", F.sort_array(window_hashes(tokens, n)).alias("items"), F.coalesce(F.md5("text"), F.lit("null")).alias("_text"))
+    set_id = F.when(F.size("items") > 0, F.md5(F.concat_ws(",", F.col("items").cast("array<string>")))).otherwise(F.concat(F.lit("text "), F.col("_text")))
+    named = written(sets.select("doc_id", "items", set_id.alias("set_id")))
+    classes = written(named.groupBy("set_id").agg(F.min("doc_id").alias("class_id"), F.first("items").alias("items"), F.size(F.first("items")).alias("size")))
     held = classes.where("size > 0")
     each = held.select("class_id", "size", F.explode("items").alias("item"))
     often = each.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    bits = [F.coalesce(F.bit_xor(F.expr(f"CASE WHEN (item >> 6 & {_WORDS_OF_BITS - 1}) = {w} THEN shiftleft(1L, CAST(item & 63 AS INT)) END")), F.lit(0)).alias(f"x{w}") for w in range(_WORDS_OF_BITS)]
+    parities = each.groupBy("class_id").agg(*bits)
     doc = Window.partitionBy("class_id")  # windows that only one class holds come first, and count without being sorted
     rank = F.col("size") - F.count(F.lit(1)).over(doc) + F.row_number().over(doc.orderBy("n", "item"))
     ranked = each.join(often.where("n > 1"), "item").withColumn("rest", F.col("size") - rank + 1).where(F.col("rest") >= F.ceil(percent * F.col("size") / 100))
+    ranked = written(ranked.join(parities, "class_id"))
     bin_ = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent)))
-    small = ranked.where((100 + percent) * F.col("rest") >= 2 * percent * F.col("size")).select("item", bin_.alias("bin"), F.col("class_id").alias("u"), F.col("size").alias("nu"), F.col("rest").alias("ru"))
-    large = ranked.select("item", F.explode(F.array(bin_, bin_ - 1, bin_ - 2)).alias("bin"), F.col("class_id").alias("v"), F.col("size").alias("nv"), F.col("rest").alias("rv"))
+    groups = F.ceil(F.col("n") / _GROUP).cast("int")
+    side = lambda x: [F.col("class_id").alias(x), F.col("size").alias(f"n{x}"), F.col("rest").alias(f"r{x}"), *[F.col(f"x{w}").alias(f"{x}{w}") for w in range(_WORDS_OF_BITS)]]
+    small = ranked.where((100 + percent) * F.col("rest") >= 2 * percent * F.col("size")).select("item", bin_.alias("bin"), F.pmod(F.xxhash64("class_id"), groups).cast("int").alias("group"), *side("u"))
+    large = ranked.select("*", F.explode(F.array(bin_, bin_ - 1, bin_ - 2)).alias("bin")).select("item", "bin", F.explode(F.sequence(F.lit(0), groups - 1)).alias("group"), *side("v"))
     fits = (100 + percent) * F.least("ru", "rv") >= percent * (F.col("nu") + F.col("nv"))
     order = (F.col("nu") < F.col("nv")) | ((F.col("nu") == F.col("nv")) & (F.col("u") < F.col("v")))
-    likely = small.join(large, ["item", "bin"]).where(fits & order).select(F.col("u").alias("a"), F.col("v").alias("b")).distinct()
-    side = lambda x: held.select(F.col("class_id").alias(x), F.col("items").alias(f"items_{x}"))
+    apart = sum(F.bit_count(F.col(f"u{w}").bitwiseXOR(F.col(f"v{w}"))) for w in range(_WORDS_OF_BITS))
+    near = (100 + percent) * apart <= (100 - percent) * (F.col("nu") + F.col("nv"))
+    likely = small.join(large, ["item", "bin", "group"]).where(fits & order & near).select(F.col("u").alias("a"), F.col("v").alias("b")).distinct()
+    whole = lambda x: held.select(F.col("class_id").alias(x), F.col("items").alias(f"items_{x}"))
     common = F.size(F.array_intersect("items_a", "items_b"))
     union = F.size("items_a") + F.size("items_b") - common
-    links = likely.join(side("a"), "a").join(side("b"), "b").where(100 * common >= percent * union).select("a", "b")
+    likely = written(likely)
+    links = likely.join(whole("a"), "a").join(whole("b"), "b").where(100 * common >= percent * union).select("a", "b")
     counts = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count(F.lit(1)).alias("n_links"))
     members = named.select("doc_id", "set_id").join(classes.select("set_id", "class_id"), "set_id")
     return members.join(counts, "class_id", "left").select("doc_id", "class_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))

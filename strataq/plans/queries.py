@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,31 +9,13 @@ from pyspark.sql import functions as F
 
 from strataq import streaming
 from strataq.functions import content_id, in_sample, normalised, only_letters
-from strataq.operators import agent, augment, difficulty, loop, merge, reconcile, review, sync
-from strataq.sources import TABLES, load
+from strataq.operators import agent, augment, difficulty, estimates, loop, merge, reconcile, review, sync
+from strataq.sources import TABLES, load, shared_folder
 from strataq.sources.service import TableService
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder where all executors write, gone when the driver ends; of this machine only where a local session names none."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        if not hasattr(shared_folder, "own"):
-            shared_folder.own = tempfile.mkdtemp(prefix="strataq-")
-            atexit.register(shutil.rmtree, shared_folder.own, True)
-        base = shared_folder.own
-    path = f"{base.rstrip('/')}/strataq/{uuid.uuid4().hex}"
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(jvm_path)
-    fs.deleteOnExit(jvm_path)
-    return path
-
-
 def table_sizes(spark: SparkSession, d: str) -> DataFrame:
     parts = [load(spark, d, t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "n") for t in TABLES]
     out = parts[0]
@@ -101,6 +79,25 @@ def settled_questions(spark: SparkSession, d: str) -> DataFrame:
     return loop.refine(spark, questions, f"{shared_folder(spark)}/loop", loop.recorded(answers), decide, _words, 200)
 
 
+def agreed_quality(spark: SparkSession, d: str) -> DataFrame:
+    """What four reviewers of documents agree on, after two rounds: by length, by symbols, by lines, and the labels there are."""
+    docs = load(spark, d, "documents").select("doc_id", "text", "n_chars")
+    says = lambda name, good: F.struct(F.lit(name).alias("reviewer"), F.when(good, "good").otherwise("bad").alias("vote"))
+    rules = [says("length", F.col("n_chars") >= 300), says("symbols", ~F.col("text").rlike("[|#*$%&]")), says("lines", F.col("text").contains("\n"))]
+    votes = docs.select(F.col("doc_id").alias("item"), F.explode(F.array(*rules)).alias("x")).select("item", "x.*")
+    labels = load(spark, d, "labels").select(F.col("doc_id").alias("item"), F.lit("labels").alias("reviewer"), F.when(F.col("quality") == 1, "good").otherwise("bad").alias("vote"))
+    p, _ = estimates.agreement(votes.unionByName(labels), ["bad", "good"], 2, 0.0)
+    return p.select(F.col("item").alias("doc_id"), "class", F.round("p", 6).alias("p"))
+
+
+def difficulty_of_items(spark: SparkSession, d: str) -> DataFrame:
+    """Difficulty after two rounds, of what users do by kind and hour: an event of a value from 35 is solved."""
+    events = load(spark, d, "events")
+    item = F.concat_ws("-", "event_type", F.hour("ts").cast("string"))
+    items, _ = estimates.solve_difficulty(events.select(F.col("user_id").alias("solver"), item.alias("item"), (F.col("value") >= 35).alias("solved")), 2, 0.0)
+    return items.select("item", F.round("difficulty", 6).alias("difficulty"), "n")
+
+
 _FIELDS = ("text_hash", "lang", "source")
 
 
@@ -180,6 +177,7 @@ QUERIES: dict[str, Query] = {
     "q3_exact_duplicates": _docs(review.exact_duplicates_removed),
     "q4_near_duplicate_classes": _docs(review.near_duplicate_classes),
     "q5_contamination": lambda spark, d: review.contaminated(load(spark, d, "documents"), load(spark, d, "benchmark")),
+    "q10_agreement": agreed_quality,
     "q6_personal_pattern": _docs(review.with_email),
     "q7_labelled": lambda spark, d: review.labelled(load(spark, d, "documents"), load(spark, d, "labels")),
     "q7_unlabelled": lambda spark, d: review.unlabelled(load(spark, d, "documents"), load(spark, d, "labels")),
@@ -192,6 +190,7 @@ QUERIES: dict[str, Query] = {
     "v5_scored_difficulty": scored_difficulty,
     "v6_centre_likeness": _on(difficulty.centre_likeness, "embeddings"),
     "v6_neighbours": _on(lambda x: difficulty.neighbours(x.where("vec_id % 50 = 0"), x), "embeddings"),
+    "v7_solve_difficulty": difficulty_of_items,
     "g1_seeds": _docs(agent.seeds),
     "g2_requests": lambda spark, d: _asked(spark, d).select("request_id", "stage", "payload"),
     "g3_pending": pending_requests,
@@ -240,6 +239,24 @@ _VARIANTS = f"""{_PAIRS}, var AS (SELECT question_id AS parent_id, unnest([{{'va
     made AS (SELECT md5(parent_id || '|' || v.variant_no) AS question_id, parent_id, v.variant_no AS variant_no, v.kind AS kind, v.question AS question FROM var),
     fam AS (SELECT question_id, CAST(NULL AS VARCHAR) AS parent_id, 0::BIGINT AS variant_no, 'seed' AS origin, question FROM ids UNION ALL SELECT question_id, parent_id, variant_no, 'augmented', question FROM made)"""
 
+_AGREED = """WITH v AS (SELECT doc_id AS item, unnest([{'reviewer': 'length', 'good': n_chars >= 300}, {'reviewer': 'symbols', 'good': NOT regexp_matches(text, '[|#*$%&]')}, {'reviewer': 'lines', 'good': contains(text, chr(10))}]) AS x FROM documents),
+    votes AS (SELECT item, x.reviewer AS reviewer, CASE WHEN x.good THEN 'good' ELSE 'bad' END AS vote FROM v UNION ALL SELECT doc_id, 'labels', CASE WHEN quality = 1 THEN 'good' ELSE 'bad' END FROM labels),
+    classes AS (SELECT unnest(['bad', 'good']) AS class), n AS (SELECT count(DISTINCT item) AS n FROM votes),
+    p0 AS (SELECT item, class, CAST(count(*) FILTER (vote = class) AS DOUBLE) / count(*) AS p FROM votes, classes GROUP BY item, class)"""
+for _r in range(2):
+    _AGREED += f""", c{_r} AS (SELECT r.reviewer, c.class, w.class AS vote, coalesce(sum(p.p) FILTER (v.vote = w.class), 0) + 0.01::DOUBLE AS s FROM (SELECT DISTINCT reviewer FROM votes) r, classes c, classes w
+        LEFT JOIN votes v ON v.reviewer = r.reviewer LEFT JOIN p{_r} p ON p.item = v.item AND p.class = c.class GROUP BY ALL),
+    h{_r} AS (SELECT reviewer, class, vote, s / sum(s) OVER (PARTITION BY reviewer, class) AS share FROM c{_r}),
+    b{_r} AS (SELECT class, (sum(p) + 0.01::DOUBLE) / (any_value(n) + 0.02::DOUBLE) AS prior FROM p{_r}, n GROUP BY class),
+    l{_r} AS (SELECT v.item, h.class, sum(ln(share)) + ln(any_value(prior)) AS l FROM votes v JOIN h{_r} h ON h.reviewer = v.reviewer AND h.vote = v.vote JOIN b{_r} b ON b.class = h.class GROUP BY v.item, h.class),
+    w{_r} AS (SELECT item, class, exp(l - max(l) OVER (PARTITION BY item)) AS w FROM l{_r}), p{_r + 1} AS (SELECT item, class, w / sum(w) OVER (PARTITION BY item) AS p FROM w{_r})"""
+_SOLVED = """WITH a AS (SELECT user_id AS solver, event_type || '-' || hour(ts) AS item, CASE WHEN value >= 35 THEN 1.0::DOUBLE ELSE 0 END AS y FROM events),
+    i0 AS (SELECT item, 0.0::DOUBLE AS x, count(*) AS n FROM a GROUP BY item), s0 AS (SELECT DISTINCT solver, 0.0::DOUBLE AS x FROM a)"""
+_STEP = "greatest(-2.0::DOUBLE, least(2.0::DOUBLE, ({0} * sum(y - p) - any_value(x)) / (sum(p * (1 - p)) + 1)))".format
+for _r in range(2):
+    _SOLVED += f""", s{_r + 1} AS (SELECT solver, any_value(x) + {_STEP(1)} AS x FROM (SELECT a.solver, y, s.x AS x, 1 / (1 + exp(i.x - s.x)) AS p FROM a JOIN s{_r} s USING (solver) JOIN i{_r} i USING (item)) GROUP BY solver),
+    i{_r + 1} AS (SELECT item, any_value(x) + {_STEP(-1)} AS x, any_value(n) AS n FROM (SELECT a.item, y, i.x AS x, n, 1 / (1 + exp(i.x - s.x)) AS p FROM a JOIN s{_r + 1} s USING (solver) JOIN i{_r} i USING (item)) GROUP BY item)"""
+
 ORACLES: dict[str, str] = {
     "f1_table_sizes": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in TABLES),
     "f2_normal_forms": f"SELECT doc_id, md5({_N('text')}) AS spaced, md5({_LETTERS.format('text')}) AS letters FROM documents",
@@ -258,7 +275,8 @@ ORACLES: dict[str, str] = {
         p AS (SELECT a.class_id AS a, b.class_id AS b, any_value(a.size) AS na, any_value(b.size) AS nb, count(*) AS common FROM e a JOIN e b ON a.item = b.item AND a.class_id <> b.class_id GROUP BY ALL),
         l AS (SELECT a, count(*) AS n FROM p WHERE 100 * common >= 80 * (na + nb - common) GROUP BY a)
         SELECT unnest(docs) AS doc_id, class_id, coalesce(l.n, 0) AS n_links FROM c LEFT JOIN l ON c.class_id = l.a""",
-    "q5_contamination": "SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)",
+    "q5_contamination": "SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text) WHERE b.text <> ''",
+    "q10_agreement": f"{_AGREED} SELECT item AS doc_id, class, round(p, 6) AS p FROM p2",
     "q6_personal_pattern": f"SELECT doc_id FROM documents WHERE regexp_matches(text, {_EMAIL})",
     "q7_labelled": "SELECT coalesce(l.quality, -1) AS quality, count(*) AS n, CAST(sum(d.n_chars) AS BIGINT) AS chars FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY ALL",
     "q7_unlabelled": "SELECT doc_id FROM documents ANTI JOIN labels USING (doc_id)",
@@ -276,6 +294,7 @@ ORACLES: dict[str, str] = {
           / sqrt(list_dot_product(q.embedding::DOUBLE[], q.embedding::DOUBLE[]) * list_dot_product(r.embedding::DOUBLE[], r.embedding::DOUBLE[])), 5) AS likeness
         FROM embeddings q JOIN embeddings r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0)
         SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY likeness DESC, vec_id) AS rank, vec_id, likeness FROM s QUALIFY rank <= 5""",
+    "v7_solve_difficulty": f"{_SOLVED} SELECT item, round(x, 6) AS difficulty, n FROM i2",
     "g1_seeds": "SELECT doc_id, source, n_chars, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS rank FROM documents QUALIFY rank <= 3",
     "g2_requests": f"WITH {_REQ} SELECT * FROM req",
     "g3_pending": f"WITH {_REQ} SELECT request_id FROM req WHERE NOT substr(md5(request_id), 1, 4) < '8000'",

@@ -32,9 +32,9 @@ def test_near_duplicate_classes_as_brute_force(spark):
             for _ in range(rng.randint(0, 3)):
                 copy[rng.randrange(len(copy))] = "z"
             texts.append(" ".join(copy))
-    texts += ["", "one two", "one two", "One two!"]
+    texts += ["", "one two", "one two", "One two!", None, None]
     rows = list(enumerate(texts))
-    grams = lambda t: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)}
+    grams = lambda t: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} if t else set()
     sets = {i: frozenset(grams(t)) for i, t in rows}
     key = {i: s or t for (i, t), s in zip(rows, sets.values(), strict=True)}
     cls = {i: min(j for j in sets if key[j] == key[i]) for i in sets}
@@ -211,8 +211,10 @@ def test_null_content_is_not_empty(spark):
 
 def test_neighbours_as_brute_force(spark):
     rng = Random(3)
-    vectors = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(90)] + [(90, [0.0] * 4), (91, None), (92, [1.0, 2.0]), (93, [2.0, 4.0])]
-    df = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")
+    vectors = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(90)] + [(90, [0.0] * 4), (91, None), (92, [1.0, 2.0]), (93, [2.0, 4.0]), (95, [1e-200, 0.0]), (96, [1e200, 1e200])]
+    odd = [(97, [float("nan"), 1.0]), (98, [float("inf"), 0.0]), (99, [None, 1.0])]
+    df = spark.createDataFrame(vectors + odd, "vec_id bigint, embedding array<double>")
+    vectors = [(i, v and [x / max(map(abs, v)) if any(v) else x for x in v]) for i, v in vectors]
     dot = lambda a, b: sum(x * y for x, y in zip(a, b, strict=True))
     use = {i: v for i, v in vectors if v and any(v)}
     want = []
@@ -223,7 +225,7 @@ def test_neighbours_as_brute_force(spark):
 
 
 def test_bands_as_windows(spark):
-    turns = spark.createDataFrame([(i, i % 3, "ab"[i % 7 == 0], "x" * (i * 7 % 11)) for i in range(103)] + [(500, 0, "c", None)], "conv_id bigint, turn bigint, role string, text string")
+    turns = spark.createDataFrame([(i, i % 3, "ab"[i % 7 == 0], "x" * (i * 7 % 11)) for i in range(103)] + [(500, 0, "c", None)] + [(5000 + 3000 * i, 0, ("", None)[i % 2], "x") for i in range(20)], "conv_id bigint, turn bigint, role string, text string")
     turns.createOrReplaceTempView("turns")
     want = spark.sql("SELECT conv_id, turn, cast(ntile(5) OVER w AS bigint), round(percent_rank() OVER w, 6) FROM turns WINDOW w AS (PARTITION BY role ORDER BY length(text), conv_id, turn)")
     assert sorted(map(tuple, difficulty.relative_bands(turns).collect())) == sorted(map(tuple, want.collect()))
