@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strataq import streaming
 from strataq.functions import content_id, in_sample, normalised, only_letters
-from strataq.operators import agent, augment, difficulty, estimates, loop, merge, reconcile, review, sync
+from strataq.operators import agent, augment, difficulty, estimates, loop, merge, reconcile, review, surprise, sync
 from strataq.sources import TABLES, load, shared_folder
 from strataq.sources.service import TableService
 
@@ -98,6 +98,13 @@ def difficulty_of_items(spark: SparkSession, d: str) -> DataFrame:
     return items.select("item", F.round("difficulty", 6).alias("difficulty"), "n")
 
 
+def surprising_questions(spark: SparkSession, d: str) -> DataFrame:
+    """How surprising each question is to a model of three words counted over all documents."""
+    model = surprise.counted(load(spark, d, "documents"), "text")
+    found = surprise.surprise(_pairs(spark, d), ["conv_id", "turn"], "question", model)
+    return found.select("conv_id", "turn", "words", F.round("bits", 6).alias("bits"))
+
+
 _FIELDS = ("text_hash", "lang", "source")
 
 
@@ -191,6 +198,7 @@ QUERIES: dict[str, Query] = {
     "v6_centre_likeness": _on(difficulty.centre_likeness, "embeddings"),
     "v6_neighbours": _on(lambda x: difficulty.neighbours(x.where("vec_id % 50 = 0"), x), "embeddings"),
     "v7_solve_difficulty": difficulty_of_items,
+    "v8_surprise": surprising_questions,
     "g1_seeds": _docs(agent.seeds),
     "g2_requests": lambda spark, d: _asked(spark, d).select("request_id", "stage", "payload"),
     "g3_pending": pending_requests,
@@ -257,6 +265,20 @@ for _r in range(2):
     _SOLVED += f""", s{_r + 1} AS (SELECT solver, any_value(x) + {_STEP(1)} AS x FROM (SELECT a.solver, y, s.x AS x, 1 / (1 + exp(i.x - s.x)) AS p FROM a JOIN s{_r} s USING (solver) JOIN i{_r} i USING (item)) GROUP BY solver),
     i{_r + 1} AS (SELECT item, any_value(x) + {_STEP(-1)} AS x, any_value(n) AS n FROM (SELECT a.item, y, i.x AS x, n, 1 / (1 + exp(i.x - s.x)) AS p FROM a JOIN s{_r + 1} s USING (solver) JOIN i{_r} i USING (item)) GROUP BY item)"""
 
+_RUNS = """SELECT {0} CASE WHEN length(a) > 64 THEN sha256(a) ELSE a END AS a, CASE WHEN length(b) > 64 THEN sha256(b) ELSE b END AS b, CASE WHEN length(c) > 64 THEN sha256(c) ELSE c END AS c
+        FROM (SELECT {0} unnest(t[:-3]) AS a, unnest(t[2:-2]) AS b, unnest(t[3:]) AS c FROM (SELECT {0} [chr(10), chr(10)] || regexp_extract_all(lower({1}), '[^ \\t\\n\\r]+') AS t FROM {2}) WHERE len(t) > 2)""".format
+_DISCOUNT = "(SELECT count(*) FILTER (n = 1) / (count(*) FILTER (n = 1) + 2.0::DOUBLE * count(*) FILTER (n = 2)) FROM {0})".format
+_SURPRISE = f"""{_PAIRS}, runs AS ({_RUNS('', 'text', 'documents')}),
+    n3 AS (SELECT a, b, c, count(*) AS n FROM runs GROUP BY ALL), n2 AS (SELECT b, c, count(*) AS n FROM n3 GROUP BY ALL), n1 AS (SELECT c, count(*) AS n FROM n2 GROUP BY ALL),
+    s3 AS (SELECT a, b, sum(n) AS total, count(*) AS kinds FROM n3 GROUP BY ALL), s2 AS (SELECT b, sum(n) AS total, count(*) AS kinds FROM n2 GROUP BY ALL),
+    d AS (SELECT {_DISCOUNT('n3')} AS d3, {_DISCOUNT('n2')} AS d2, {_DISCOUNT('n1')} AS d1, (SELECT sum(n) FROM n1) AS total, (SELECT count(*) FROM n1) AS kinds),
+    asked AS ({_RUNS('conv_id, turn,', 'question', 'pairs')}),
+    q AS (SELECT q.conv_id, q.turn, (greatest(coalesce(n1.n, 0) - d1, 0) + d1 * d.kinds / (d.kinds + 1)) / d.total AS p1,
+        CASE WHEN s2.total IS NULL THEN p1 ELSE (greatest(coalesce(n2.n, 0) - d2, 0) + d2 * s2.kinds * p1) / s2.total END AS p2,
+        CASE WHEN s3.total IS NULL THEN p2 ELSE (greatest(coalesce(n3.n, 0) - d3, 0) + d3 * s3.kinds * p2) / s3.total END AS p3
+        FROM asked q CROSS JOIN d LEFT JOIN n1 USING (c) LEFT JOIN n2 USING (b, c) LEFT JOIN n3 USING (a, b, c) LEFT JOIN s2 USING (b) LEFT JOIN s3 USING (a, b)),
+    sums AS (SELECT conv_id, turn, count(*) AS words, avg(-log2(p3)) AS bits FROM q GROUP BY ALL)"""
+
 ORACLES: dict[str, str] = {
     "f1_table_sizes": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in TABLES),
     "f2_normal_forms": f"SELECT doc_id, md5({_N('text')}) AS spaced, md5({_LETTERS.format('text')}) AS letters FROM documents",
@@ -295,6 +317,7 @@ ORACLES: dict[str, str] = {
         FROM embeddings q JOIN embeddings r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0)
         SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY likeness DESC, vec_id) AS rank, vec_id, likeness FROM s QUALIFY rank <= 5""",
     "v7_solve_difficulty": f"{_SOLVED} SELECT item, round(x, 6) AS difficulty, n FROM i2",
+    "v8_surprise": f"WITH {_SURPRISE} SELECT conv_id, turn, coalesce(words, 0) AS words, round(coalesce(bits, 0), 6) AS bits FROM pairs LEFT JOIN sums USING (conv_id, turn)",
     "g1_seeds": "SELECT doc_id, source, n_chars, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS rank FROM documents QUALIFY rank <= 3",
     "g2_requests": f"WITH {_REQ} SELECT * FROM req",
     "g3_pending": f"WITH {_REQ} SELECT request_id FROM req WHERE NOT substr(md5(request_id), 1, 4) < '8000'",
