@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strataq import streaming
 from strataq.functions import content_id, in_sample, normalised, only_letters
-from strataq.operators import agent, augment, difficulty, estimates, loop, merge, reconcile, review, surprise, sync
+from strataq.operators import agent, augment, difficulty, diversity, estimates, loop, merge, reconcile, review, surprise, sync
 from strataq.sources import TABLES, load, shared_folder
 from strataq.sources.service import TableService
 
@@ -205,6 +205,7 @@ QUERIES: dict[str, Query] = {
     "g4_responses": response_status,
     "g5_parsed": parsed_responses,
     "g6_settled_questions": settled_questions,
+    "g7_diverse_seeds": _on(lambda x: diversity.diverse(x, 10), "embeddings"),
     "a1_variants": _of_pairs(lambda x: augment.variants(x).select("question_id", "parent_id", "variant_no", "kind")),
     "a2_transforms": _of_pairs(lambda x: augment.variants(x).select("question_id", "question")),
     "a3_lineage": _of_pairs(augment.with_lineage),
