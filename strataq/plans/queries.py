@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strataq import streaming
 from strataq.functions import content_id, in_sample, normalised, only_letters
-from strataq.operators import agent, augment, difficulty, diversity, estimates, loop, merge, reconcile, review, surprise, sync
+from strataq.operators import agent, answers, augment, difficulty, diversity, estimates, loop, merge, reconcile, review, surprise, sync, temporal
 from strataq.sources import TABLES, load, shared_folder
 from strataq.sources.service import TableService
 
@@ -154,6 +154,43 @@ def incremental_events(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(events.schema).parquet(f"{out}/*").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+def applied_events(spark: SparkSession, d: str) -> DataFrame:
+    """A user's last event that isn't an error, from events that come in three runs, out of order and some of them twice."""
+    events = load(spark, d, "events")
+    op = F.when(F.col("event_type") == "error", "delete").otherwise("upsert")
+    given = events.select(F.col("user_id").cast("string").alias("key"), F.col("event_id").alias("version"), F.col("ts").cast("timestamp").alias("at"), op.alias("op"), F.col("event_type").alias("content"))
+    source, out, checkpoint = (shared_folder(spark) for _ in range(3))
+    for run in (2, 0, 1):
+        given.where((F.col("version") % 3 == run) | (F.col("version") % 10 == 0)).write.mode("append").parquet(f"{source}/changes")
+        streaming.apply_changes(spark, f"{source}/changes", out, checkpoint, late="366 days")
+    return streaming.current_rows(spark, out).select(F.col("key").cast("bigint").alias("user_id"), F.col("version").alias("event_id"), F.col("content").alias("event_type"))
+
+
+def typed_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Bodies of events in five forms (as they are, as text, nested, of another name, cut off): the number in each, or the path that failed."""
+    events = load(spark, d, "events")
+    k = F.regexp_extract("props", "[0-9]+", 0)
+    drift = [F.concat(F.lit('{"k": "'), k, F.lit('"}')), F.concat(F.lit('{"k": {"value": '), k, F.lit("}}")), F.concat(F.lit('{"j": '), k, F.lit("}")), F.concat(F.lit('{"k": '), k)]
+    body = F.col("props")
+    for i, other in enumerate(drift):
+        body = F.when(F.col("event_id") % 7 == i, other).otherwise(body)
+    return answers.typed(events.select("event_id", body.alias("body")), "body", {"k": ("bigint", ["$.k", "$.k.value"])}).select("event_id", "k", "failed")
+
+
+def views_before_purchases(spark: SparkSession, d: str) -> DataFrame:
+    events = load(spark, d, "events")
+    found = temporal.as_of(events.where("event_type = 'purchase'"), events.where("event_type = 'view'").withColumnRenamed("event_id", "view_id"), "user_id", "ts", ["view_id", "value"])
+    return found.select("event_id", "user_id", F.col("last.view_id").alias("view_id"), F.col("last.value").alias("view_value"))
+
+
+def errors_in_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """How many errors, of whomever, fall between the first and last event of each session that saw one."""
+    events = load(spark, d, "events")
+    lasting = events.groupBy(F.session_window("ts", "30 minutes"), "user_id").agg(F.min("ts").alias("first"), F.max("ts").alias("last")).select("user_id", "first", "last")
+    errors = events.where("event_type = 'error'").select("event_id", F.col("ts").alias("first"), F.col("ts").alias("last"))
+    return temporal.meeting(lasting, errors, "first", "last").groupBy("one.user_id", F.col("one.first").alias("start")).agg(F.count(F.lit(1)).alias("n_errors"))
+
+
 def next_snapshot(spark: SparkSession, d: str) -> DataFrame:
     """The new version as a written directory, which readers see whole or not at all."""
     current, previous = _versions(spark, d)
@@ -206,6 +243,7 @@ QUERIES: dict[str, Query] = {
     "g5_parsed": parsed_responses,
     "g6_settled_questions": settled_questions,
     "g7_diverse_seeds": _on(lambda x: diversity.diverse(x, 10), "embeddings"),
+    "g8_typed_answers": typed_answers,
     "a1_variants": _of_pairs(lambda x: augment.variants(x).select("question_id", "parent_id", "variant_no", "kind")),
     "a2_transforms": _of_pairs(lambda x: augment.variants(x).select("question_id", "question")),
     "a3_lineage": _of_pairs(augment.with_lineage),
@@ -213,6 +251,9 @@ QUERIES: dict[str, Query] = {
     "y1_changes": lambda spark, d: sync.changes(*_versions(spark, d)),
     "y2_batches": lambda spark, d: sync.batches(sync.changes(*_versions(spark, d))),
     "y3_sent_changes": sent_changes,
+    "e2_views_before_purchases": views_before_purchases,
+    "e3_errors_in_sessions": errors_in_sessions,
+    "y10_applied": applied_events,
     "y4_incremental": incremental_events,
     "y5_next_snapshot": next_snapshot,
     "y6_pulled": pulled_snapshot,
@@ -351,4 +392,15 @@ ORACLES: dict[str, str] = {
     "e1_event_windows": "SELECT time_bucket(INTERVAL 1 day, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
     "e1_sessions": """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 minutes THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
         s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM g) SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, k""",
+    "e2_views_before_purchases": """WITH v AS (SELECT user_id, ts, max(event_id) AS view_id, max_by(value, event_id) AS value FROM events WHERE event_type = 'view' GROUP BY ALL)
+        SELECT p.event_id, p.user_id, v.view_id, v.value AS view_value FROM (FROM events WHERE event_type = 'purchase') p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.ts >= v.ts""",
+    "e3_errors_in_sessions": """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 minutes THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+        k AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM g), s AS (SELECT user_id, min(ts) AS start, max(ts) AS last FROM k GROUP BY user_id, k)
+        SELECT s.user_id, s.start, count(*) AS n_errors FROM s JOIN events e ON e.event_type = 'error' AND e.ts BETWEEN s.start AND s.last GROUP BY ALL""",
+    "y10_applied": "SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1 AND event_type <> 'error'",
+    "g8_typed_answers": r"""WITH b AS (SELECT event_id, regexp_extract(props, '[0-9]+') AS k, props FROM events),
+        f AS (SELECT event_id, CASE event_id % 7 WHEN 0 THEN '{"k": "' || k || '"}' WHEN 1 THEN '{"k": {"value": ' || k || '}}' WHEN 2 THEN '{"j": ' || k || '}' WHEN 3 THEN '{"k": ' || k ELSE props END AS body FROM b),
+        r AS (SELECT event_id, CASE WHEN json_valid(body) THEN body END AS body FROM f),
+        t AS (SELECT event_id, body, coalesce(TRY_CAST(json_extract_string(body, '$.k') AS BIGINT), TRY_CAST(json_extract_string(body, '$.k.value') AS BIGINT)) AS k FROM r)
+        SELECT event_id, k, CASE WHEN body IS NULL THEN '$' WHEN k IS NULL THEN '$.k' END AS failed FROM t""",
 }
