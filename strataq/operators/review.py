@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataq.functions import content_id, normalised, only_letters, window_hashes, words
@@ -56,15 +56,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 5) -> DataFrame
     return found.unionByName(anywhere).distinct()
 
 
-_WORDS_OF_BITS, _GROUP = 8, 4096
+_WORDS_OF_BITS, _GROUP, _LOADS = 8, 4096, 1 << 18
+
+
+def _bit(item: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), item.bitwiseAND(F.lit(63)).cast("int"))
+
+
+def _held_often(named: DataFrame) -> list[int]:
+    """A bit for each value of the last bits of a window: whether windows that end so are held twice as often as the mean or more."""
+    loads = named.select(F.explode("items").alias("item")).groupBy(F.col("item").bitwiseAND(F.lit(_LOADS - 1)).alias("end")).agg(F.count(F.lit(1)).alias("n"))
+    loads = written(loads)  # as many rows at most
+    total = loads.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    bits = loads.where(F.col("n") * _LOADS >= 2 * total).groupBy(F.shiftright("end", 6).cast("int").alias("word")).agg(F.expr("bit_or(shiftleft(1L, CAST(end & 63 AS INT)))").alias("bits"))
+    found = {r.word: r.bits for r in bits.collect()}
+    return [found.get(i, 0) for i in range(_LOADS // 64)]
 
 
 def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, class_id, n_links: exact similarity of n-word windows, `percent` or more.
 
     Documents of one window set are a class, named by its least id. Classes are linked by a
-    prefix filter: windows are ordered by how few classes hold them, and two sets that are alike
-    share one of their first size - ceil(percent * size / 100) + 1 windows; where they first do, both
+    prefix filter: two sets that are alike share one of their first size - ceil(percent * size / 100) + 1
+    windows, in any order that is the same for all sets, so only these are shuffled; the order is that of the hashes, with windows
+    last whose last bits are those of windows held often. Where two sets first share one, both
     must still have room for the overlap that they need, and they are of neighbouring size bins. Then
     the parities of both sets, 512 bits by window, are compared: they differ in no more bits than
     the sets in windows, so no pair alike is lost, and few others are left whose sets are fetched.
@@ -75,15 +90,18 @@ def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> Da
     sets = docs.select("doc_id", F.sort_array(window_hashes(tokens, n)).alias("items"), F.coalesce(F.md5("text"), F.lit("null")).alias("_text"))
     set_id = F.when(F.size("items") > 0, F.md5(F.concat_ws(",", F.col("items").cast("array<string>")))).otherwise(F.concat(F.lit("text "), F.col("_text")))
     named = written(sets.select("doc_id", "items", set_id.alias("set_id")))
-    classes = written(named.groupBy("set_id").agg(F.min("doc_id").alias("class_id"), F.first("items").alias("items"), F.size(F.first("items")).alias("size")))
-    held = classes.where("size > 0")
-    each = held.select("class_id", "size", F.explode("items").alias("item"))
-    often = each.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    classes = written(named.groupBy("set_id").agg(F.min("doc_id").alias("class_id")))
+    held = named.where(F.size("items") > 0).select(F.col("doc_id").alias("class_id"), "items", F.size("items").alias("size"))
+    often = F.array(*map(F.lit, _held_often(named)))
+    is_often = lambda x: F.get(often, F.shiftright(x.bitwiseAND(F.lit(_LOADS - 1)), 6).cast("int")).bitwiseAND(_bit(x)) != 0
+    ordered = F.concat(F.filter("items", lambda x: ~is_often(x)), F.filter("items", is_often))
+    first = F.slice(ordered, 1, F.col("size") - F.ceil(percent * F.col("size") / 100).cast("int") + 1)
+    each = held.select("class_id", "size", F.posexplode(first).alias("place", "item")).select("class_id", "item", "size", (F.col("size") - F.col("place")).alias("rest"))
+    each = written(each.join(classes.select("class_id"), "class_id", "left_semi"))
+    shared = each.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     bits = [F.coalesce(F.bit_xor(F.expr(f"CASE WHEN (item >> 6 & {_WORDS_OF_BITS - 1}) = {w} THEN shiftleft(1L, CAST(item & 63 AS INT)) END")), F.lit(0)).alias(f"x{w}") for w in range(_WORDS_OF_BITS)]
-    parities = each.groupBy("class_id").agg(*bits)
-    doc = Window.partitionBy("class_id")  # windows that only one class holds come first, and count without being sorted
-    rank = F.col("size") - F.count(F.lit(1)).over(doc) + F.row_number().over(doc.orderBy("n", "item"))
-    ranked = each.join(often.where("n > 1"), "item").withColumn("rest", F.col("size") - rank + 1).where(F.col("rest") >= F.ceil(percent * F.col("size") / 100))
+    parities = held.select("class_id", F.explode("items").alias("item")).groupBy("class_id").agg(*bits)
+    ranked = written(each.join(shared, "item"))
     ranked = written(ranked.join(parities, "class_id"))
     bin_ = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent)))
     groups = F.ceil(F.col("n") / _GROUP).cast("int")
@@ -95,10 +113,11 @@ def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> Da
     apart = sum(F.bit_count(F.col(f"u{w}").bitwiseXOR(F.col(f"v{w}"))) for w in range(_WORDS_OF_BITS))
     near = (100 + percent) * apart <= (100 - percent) * (F.col("nu") + F.col("nv"))
     likely = small.join(large, ["item", "bin", "group"]).where(fits & order & near).select(F.col("u").alias("a"), F.col("v").alias("b")).distinct()
-    whole = lambda x: held.select(F.col("class_id").alias(x), F.col("items").alias(f"items_{x}"))
     common = F.size(F.array_intersect("items_a", "items_b"))
     union = F.size("items_a") + F.size("items_b") - common
     likely = written(likely)
+    sets = written(held.join(likely.select(F.explode(F.array("a", "b")).alias("class_id")).distinct(), "class_id", "left_semi"))
+    whole = lambda x: sets.select(F.col("class_id").alias(x), F.col("items").alias(f"items_{x}"))
     links = likely.join(whole("a"), "a").join(whole("b"), "b").where(100 * common >= percent * union).select("a", "b")
     counts = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count(F.lit(1)).alias("n_links"))
     members = named.select("doc_id", "set_id").join(classes.select("set_id", "class_id"), "set_id")
