@@ -56,7 +56,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 5) -> DataFrame
     return found.unionByName(anywhere).distinct()
 
 
-_WORDS_OF_BITS, _GROUP, _LOADS = 8, 4096, 1 << 18
+_WORDS_OF_BITS, _GROUP, _LOADS, _WIDE = 8, 4096, 1 << 18, 128
 
 
 def _bit(item: Column) -> Column:
@@ -73,6 +73,20 @@ def _held_often(named: DataFrame) -> list[int]:
     return [found.get(i, 0) for i in range(_LOADS // 64)]
 
 
+def _alike_by_wide_parity(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: `pairs` without those whose parities by 8,192 bits are too far apart, where 512 bits can't tell as the sets are long."""
+    far = (100 - percent) * F.col("both") >= (100 + percent) * 32 * _WORDS_OF_BITS  # sets without a common window differ in half the bits
+    long_ = sets.join(pairs.where(far).select(F.explode(F.array("a", "b")).alias("class_id")).distinct(), "class_id", "left_semi")
+    word = F.shiftright("item", 6).bitwiseAND(F.lit(_WIDE - 1)).cast("int")
+    by_word = long_.select("class_id", F.explode("items").alias("item")).groupBy("class_id", word.alias("word")).agg(F.bit_xor(_bit(F.col("item"))).alias("bits"))
+    found = by_word.groupBy("class_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("m"))
+    wide = written(found.select("class_id", F.transform(F.sequence(F.lit(0), F.lit(_WIDE - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("bigint"))).alias("bits")))
+    side = lambda x: wide.select(F.col("class_id").alias(x), F.col("bits").alias(f"bits_{x}"))
+    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    near = pairs.where(far).join(side("a"), "a").join(side("b"), "b").where((100 + percent) * apart <= (100 - percent) * F.col("both"))
+    return pairs.where(~far).select("a", "b").unionByName(near.select("a", "b"))
+
+
 def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, class_id, n_links: exact similarity of n-word windows, `percent` or more.
 
@@ -82,7 +96,8 @@ def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> Da
     last whose last bits are those of windows held often. Where two sets first share one, both
     must still have room for the overlap that they need, and they are of neighbouring size bins. Then
     the parities of both sets, 512 bits by window, are compared: they differ in no more bits than
-    the sets in windows, so no pair alike is lost, and few others are left whose sets are fetched.
+    the sets in windows, so no pair alike is lost, and few others are left whose sets are fetched;
+    long sets are compared once more by 8,192 bits.
     Windows that many classes hold are joined in groups. n_links counts the other classes alike. Documents under
     n words are classes of their own text, without links; null texts are one class.
     """
@@ -112,12 +127,13 @@ def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> Da
     order = (F.col("nu") < F.col("nv")) | ((F.col("nu") == F.col("nv")) & (F.col("u") < F.col("v")))
     apart = sum(F.bit_count(F.col(f"u{w}").bitwiseXOR(F.col(f"v{w}"))) for w in range(_WORDS_OF_BITS))
     near = (100 + percent) * apart <= (100 - percent) * (F.col("nu") + F.col("nv"))
-    likely = small.join(large, ["item", "bin", "group"]).where(fits & order & near).select(F.col("u").alias("a"), F.col("v").alias("b")).distinct()
-    common = F.size(F.array_intersect("items_a", "items_b"))
-    union = F.size("items_a") + F.size("items_b") - common
+    likely = small.join(large, ["item", "bin", "group"]).where(fits & order & near).select(F.col("u").alias("a"), F.col("v").alias("b"), (F.col("nu") + F.col("nv")).alias("both")).distinct()
     likely = written(likely)
     sets = written(held.join(likely.select(F.explode(F.array("a", "b")).alias("class_id")).distinct(), "class_id", "left_semi"))
+    likely = written(_alike_by_wide_parity(likely, sets, percent))
     whole = lambda x: sets.select(F.col("class_id").alias(x), F.col("items").alias(f"items_{x}"))
+    common = F.size(F.array_intersect("items_a", "items_b"))
+    union = F.size("items_a") + F.size("items_b") - common
     links = likely.join(whole("a"), "a").join(whole("b"), "b").where(100 * common >= percent * union).select("a", "b")
     counts = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count(F.lit(1)).alias("n_links"))
     members = named.select("doc_id", "set_id").join(classes.select("set_id", "class_id"), "set_id")

@@ -62,6 +62,17 @@ def test_near_duplicate_windows_are_written_once(spark, monkeypatch):
     assert max(rows) == 30 * 21  # of which the first 21 are looked for
 
 
+def test_long_near_duplicates(spark):
+    """Sets of some 1,500 windows with a common passage: two are alike, others are told apart before their sets are fetched."""
+    text = lambda k, odd=0: " ".join([f"c{i}" for i in range(400)] + [f"{'z' if odd and i < odd else 'w'}{k}x{i}" for i in range(1100)])
+    texts = [text(1), text(1, 50), text(2), text(3), text(1, 600), text(2, 1)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert sorted(map(tuple, review.near_duplicate_classes(docs).collect())) == [(0, 0, 1), (1, 1, 1), (2, 2, 1), (3, 3, 0), (4, 4, 0), (5, 5, 1)]
+    pairs = spark.createDataFrame([(a, b, 2992) for a in range(6) for b in range(a + 1, 6)], "a bigint, b bigint, both int")
+    sets = docs.select(F.col("doc_id").alias("class_id"), review.window_hashes(review.words(F.col("text")), 5).alias("items"))
+    assert sorted(map(tuple, review._alike_by_wide_parity(pairs, sets, 80).collect())) == [(0, 1), (2, 5)]
+
+
 @pytest.mark.parametrize("loads", [64, 128, 1 << 18])
 def test_near_duplicates_whatever_is_held_often(spark, monkeypatch, loads):
     """The order of windows is a matter of cost alone, with a common passage in all texts too."""
